@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch only (no stream source, watermark or stateful operator)."""
