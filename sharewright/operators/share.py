@@ -7,6 +7,7 @@ hold any share of the fact.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -35,30 +36,26 @@ def cut_columns(cuts: Cuts) -> list[str]:
 
 
 def over_cuts(df: DataFrame, keys: Sequence[str], cuts: Cuts, aggregates: Sequence[Column]) -> DataFrame:
-    """The same aggregates at every cut, tagged with `level` and `level_value`; cut columns are kept.
+    """The same aggregates at every cut, tagged with `level`, `level_value` and `named`; cut columns are kept.
 
-    Levels are told apart by grouping(), never by NULL, because a cut column may itself be NULL.
+    Levels are told apart by grouping(), never by NULL, because a cut column may itself be NULL: such a cell is not
+    `named`. Values of a cut with several columns are joined with "|".
     """
     columns = cut_columns(cuts)
+    for cut in cuts.values():
+        if list(cut) != [c for c in columns if c in cut]:
+            raise ValueError(f"cut {cut} lists its columns in another order than the cuts before it: {columns}")
     sets = [[F.col(k) for k in [*keys, *cut]] for cut in cuts.values()]
-    marks = [F.grouping(c).alias(f"_g_{c}") for c in columns]
+    marks = [F.grouping(c).cast("int").alias(f"_g_{c}") for c in columns]
     grouped = df.groupingSets(sets, *[F.col(k) for k in [*keys, *columns]]).agg(*marks, *aggregates)
-    level, value = None, None
-    for name, cut in cuts.items():
-        here = reduce(lambda a, b: a & b, [F.col(f"_g_{c}") == (0 if c in cut else 1) for c in columns], F.lit(True))
-        text = F.concat_ws("|", *[F.col(c) for c in cut]) if cut else F.lit(_WHOLE)
-        level = F.when(here, name) if level is None else level.when(here, name)
-        value = F.when(here, text) if value is None else value.when(here, text)
-    return grouped.withColumns({"level": level, "level_value": value}).drop(*[f"_g_{c}" for c in columns])
-
-
-def _named_cells(df: DataFrame, cuts: Cuts) -> DataFrame:
-    """Drop cells whose cut value is unknown: quality is never attributed to an unknown cut."""
-    known = None
-    for name, cut in cuts.items():
-        filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cut], F.lit(True))
-        known = F.when(F.col("level") == name, filled) if known is None else known.when(F.col("level") == name, filled)
-    return df.where(known)
+    gid = sum((F.col(f"_g_{c}") * (1 << i) for i, c in enumerate(columns)), F.lit(0))
+    ids = {name: sum(1 << i for i, c in enumerate(columns) if c not in cut) for name, cut in cuts.items()}
+    level = F.element_at(F.create_map(*[x for name, i in ids.items() for x in (F.lit(i), F.lit(name))]), F.col("_gid"))
+    value = F.when(F.col("_gid") == (1 << len(columns)) - 1, _WHOLE).otherwise(
+        F.concat_ws("|", *[F.col(c) for c in columns]))
+    named = reduce(lambda a, b: a & b, [(F.col(f"_g_{c}") == 1) | F.col(c).isNotNull() for c in columns], F.lit(True))
+    return grouped.withColumn("_gid", gid).withColumns({"level": level, "level_value": value, "named": named}).drop(
+        "_gid", *[f"_g_{c}" for c in columns])
 
 
 def per_store(fact: DataFrame, cuts: Cuts) -> DataFrame:
@@ -72,65 +69,80 @@ def per_store(fact: DataFrame, cuts: Cuts) -> DataFrame:
         F.max("week_open_at_ingestion").alias("_open"))
 
 
+def _units(column: str, digits: int) -> Column:
+    """A decimal as a whole number of its last digit: exact, and a long adds much faster than a wide decimal.
+
+    Overflow raises in ANSI mode (set by `tune`), it never wraps.
+    """
+    return (F.col(column) * (10 ** digits)).cast("bigint").alias(column)
+
+
+def _decimal(column: str, digits: int) -> Column:
+    return (F.col(column) * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(28,{digits})")
+
+
 def brand_cells(reduced: DataFrame, cuts: Cuts) -> DataFrame:
     """Numerators, denominators, shares and rank per week x category x brand at every cut."""
-    g = over_cuts(
-        reduced, ["year_week", "category", "brand", "manufacturer", "is_own_product"], cuts,
-        [F.sum("_value").alias("brand_value_brl"), F.sum("_volume").alias("brand_volume_kg"),
-         F.sum("_units").alias("brand_units"), F.sum("_alert").alias("_brand_alert"),
-         F.countDistinct("store_id").alias("brand_stores")])
+    keys = ["year_week", "category", "brand", "manufacturer", "is_own_product"]
+    whole = reduced.select(*keys, "store_id", *cut_columns(cuts), _units("_value", 2), _units("_volume", 3), "_units",
+                           _units("_alert", 2))
+    g = over_cuts(whole, keys, cuts, [
+        F.sum("_value").alias("_value"), F.sum("_volume").alias("_volume"), F.sum("_units").alias("brand_units"),
+        F.sum("_alert").alias("_alert"), F.countDistinct("store_id").alias("brand_stores")])
     # one row per brand here: a cell is bounded by the number of brands, not by sales
     cell = Window.partitionBy("year_week", "category", "level", *cut_columns(cuts))
     g = g.withColumns({
-        "category_value_brl": F.sum("brand_value_brl").over(cell),
-        "category_volume_kg": F.sum("brand_volume_kg").over(cell),
-        "_alert_total": F.sum("_brand_alert").over(cell),
-        "ms_rank": F.dense_rank().over(cell.orderBy(F.col("brand_value_brl").desc())),
+        "_cell_value": F.sum("_value").over(cell), "_cell_volume": F.sum("_volume").over(cell),
+        "_cell_alert": F.sum("_alert").over(cell),
+        "ms_rank": F.dense_rank().over(cell.orderBy(F.col("_value").desc())),
     })
 
-    def ratio(part: str, whole: str, digits: int) -> Column:
-        return F.when(F.col(whole) > 0, F.round(F.col(part) / F.col(whole), digits).cast("double"))
+    def ratio(part: str, total: str, digits: int) -> Column:
+        return F.when(F.col(total) > 0, F.round(F.col(part) / F.col(total), digits))     # exact integers
 
     return g.withColumns({
-        "ms_value": ratio("brand_value_brl", "category_value_brl", 8),
-        "ms_volume": ratio("brand_volume_kg", "category_volume_kg", 8),
-        "value_alert_pct": ratio("_alert_total", "category_value_brl", 4),
-    }).drop("_alert_total", "_brand_alert")
+        "ms_value": ratio("_value", "_cell_value", 8), "ms_volume": ratio("_volume", "_cell_volume", 8),
+        "value_alert_pct": ratio("_cell_alert", "_cell_value", 4),
+        "brand_value_brl": _decimal("_value", 2), "category_value_brl": _decimal("_cell_value", 2),
+        "brand_volume_kg": _decimal("_volume", 3), "category_volume_kg": _decimal("_cell_volume", 3),
+    }).drop("_value", "_volume", "_alert", "_cell_value", "_cell_volume", "_cell_alert")
 
 
 def cell_coverage(chain_coverage: DataFrame, stores: DataFrame, cuts: Cuts) -> DataFrame:
-    """Coverage of a cut = coverage of its chains weighted by their stores in the cut."""
+    """Coverage of a cut = coverage of its chains weighted by their stores in the cut.
+
+    Weights are brought to the cuts first (a few rows per chain), so the weekly coverage is not multiplied by stores.
+    """
     columns = cut_columns(cuts)
-    chain_cut = {name: tuple(cut) for name, cut in cuts.items()}
-    weighted = stores.select("retailer_name", *[F.col(c).alias(f"_c_{c}") for c in columns])
-    weights = weighted.groupBy("retailer_name", *[f"_c_{c}" for c in columns]).agg(F.count("*").alias("_stores"))
-    weights = weights.select("retailer_name", "_stores", *[F.col(f"_c_{c}").alias(c) for c in columns
-                                                           if c != "retailer_name"])
-    joined = chain_coverage.select("year_week", "retailer_name", "coverage_ratio").join(weights, "retailer_name")
-    total = F.sum(F.when(F.col("coverage_ratio").isNotNull(), F.lit(1)) * F.col("coverage_ratio") * F.col("_stores"))
-    out = over_cuts(joined, ["year_week"], chain_cut, [total.alias("_covered"), F.sum("_stores").alias("_all")])
-    return _named_cells(out, cuts).select(
-        "level", "level_value", "year_week", F.round(F.col("_covered") / F.col("_all"), 4).alias("coverage_ratio"))
+    cells = stores.select(F.col("retailer_name").alias("_chain"), *columns)
+    weights = over_cuts(cells, ["_chain"], cuts, [F.count("*").alias("_stores")]).where("named").select(
+        F.col("_chain").alias("retailer_name"), "level", "level_value", "_stores")
+    ratio = F.col("coverage_ratio").cast("decimal(9,4)")                  # exact sums: no rounding noise at a tie
+    joined = chain_coverage.select("year_week", "retailer_name", ratio.alias("_ratio")).join(weights, "retailer_name")
+    covered = F.sum((F.col("_ratio") * F.col("_stores")).cast("decimal(24,4)"))
+    return joined.groupBy("level", "level_value", "year_week").agg(
+        F.round(covered / F.sum("_stores"), 4).cast("double").alias("coverage_ratio"))
 
 
 def cell_rows(reduced: DataFrame, removed: DataFrame, stores: DataFrame, cuts: Cuts) -> DataFrame:
     """Consumable and quarantined rows per week and cut (full outer), with the quarantined share.
 
     `removed`: year_week, store_id of quarantined rows. Rows of unknown stores count only at the cut without columns.
+    Quality is never attributed to an unknown (NULL) cut value.
     """
     columns = cut_columns(cuts)
-    kept = over_cuts(reduced, ["year_week"], cuts, [F.sum("_rows").alias("consumable_rows")])
+    key = ["level", "level_value", "year_week"]
+    kept = over_cuts(reduced, ["year_week"], cuts, [F.sum("_rows").alias("consumable_rows")]).where("named").select(
+        *key, "consumable_rows")
     lost = removed.groupBy("year_week", "store_id").agg(F.count("*").alias("_rows")).join(
         stores.select("store_id", *columns, F.lit(True).alias("_known")), "store_id", "left")
     lost = over_cuts(lost, ["year_week"], cuts, [
         F.sum("_rows").alias("_all"), F.sum(F.when(F.col("_known"), F.col("_rows"))).alias("_of_known")])
     whole = [name for name, cut in cuts.items() if not cut]
-    lost = lost.withColumn("quarantined_rows", F.when(F.col("level").isin(*whole), F.col("_all"))
-                           .otherwise(F.col("_of_known"))).where(F.col("quarantined_rows").isNotNull())
-    key = ["level", "level_value", "year_week"]
-    both = _named_cells(kept, cuts).select(*key, "consumable_rows").join(
-        _named_cells(lost, cuts).select(*key, "quarantined_rows"), key, "full"
-    ).fillna({"consumable_rows": 0, "quarantined_rows": 0})
+    counted = F.when(F.col("level").isin(*whole), F.col("_all")).otherwise(F.col("_of_known"))
+    lost = lost.where("named").select(*key, counted.alias("quarantined_rows")).where(
+        F.col("quarantined_rows").isNotNull())
+    both = kept.join(lost, key, "full").fillna({"consumable_rows": 0, "quarantined_rows": 0})
     return both.withColumn("quarantine_row_pct", F.round(
         F.col("quarantined_rows") / (F.col("quarantined_rows") + F.col("consumable_rows")), 4))
 
@@ -163,24 +175,15 @@ def market_share(fact: DataFrame, removed: DataFrame, stores: DataFrame, chain_c
     quality = rows.join(cell_coverage(chain_coverage, dims, cuts), key, "left")
     quality = stages(quality.select(*key, "coverage_ratio", "quarantine_row_pct"), "quality")
     open_weeks = reduced.groupBy("year_week").agg(F.max("_open").alias("_week_open")).where(F.col("_week_open"))
-    cells = brand_cells(reduced, cuts)
-    unnamed = _unnamed(cells, cuts)
-    ms = cells.withColumn("_unnamed", unnamed).join(quality, key, "left").withColumns({
-        c: F.when(~F.col("_unnamed"), F.col(c)) for c in ("coverage_ratio", "quarantine_row_pct")})
+    # quality is keyed by the text of the cut; an unnamed cell must not meet the cell of an empty text
+    ms = brand_cells(reduced, cuts).withColumn("_cut", F.when(F.col("named"), F.col("level_value"))).join(
+        quality.withColumnRenamed("level_value", "_cut"), ["level", "_cut", "year_week"], "left")
     ms = ms.join(F.broadcast(open_weeks), "year_week", "left")           # at most one row per week of the calendar
     ms = ms.withColumn("ms_status", share_status(min_coverage, max_quarantine))
     ms = ms.withColumn("ms_value_official", F.when(F.col("ms_status") == OFFICIAL, F.col("ms_value")))
     return ms.select(*SHARE_COLUMNS)
 
 
-def _unnamed(cells: DataFrame, cuts: Cuts) -> Column:
-    hit = F.lit(False)
-    for name, cut in cuts.items():
-        for c in cut:
-            hit = hit | ((F.col("level") == name) & F.col(c).isNull())
-    return hit
-
-
 # ------------------------------------------------------------------ gates
 def gate_counts(spark: SparkSession, rows_in: DataFrame, kept: DataFrame, removed: DataFrame, published: DataFrame,
                 shares: DataFrame, tolerance: float, forbidden: Sequence[str]) -> DataFrame:

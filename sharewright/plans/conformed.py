@@ -1,23 +1,32 @@
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from ..operators.rules import RuleFlow
 
 
-@dataclass
 class Conformed:
-    """Result of a plan; every member is a lazy relation over staged rows."""
-
-    rows: DataFrame
-    quarantine: DataFrame
-    corrections: DataFrame
-    log: DataFrame
-    extras: dict[str, DataFrame] = field(default_factory=dict)
-
-    @classmethod
-    def of(cls, flow: RuleFlow, rows: DataFrame | None = None, datasets=(), **extras: DataFrame) -> "Conformed":
-        return cls(flow.survivors() if rows is None else rows, flow.quarantined(), flow.corrections(),
-                   flow.log(*datasets), extras)
+    """Result of a plan: rows, removed rows, trail and log, each planned only when asked for."""
+
+    def __init__(self, flow: RuleFlow, rows: DataFrame | None = None, datasets: Sequence[DataFrame] = (),
+                 **extras: DataFrame):
+        self._flow, self._rows, self._datasets, self.extras = flow, rows, tuple(datasets), extras
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return self._flow.survivors() if self._rows is None else self._rows
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return self._flow.quarantined()
+
+    @cached_property
+    def corrections(self) -> DataFrame:
+        return self._flow.corrections()
+
+    @cached_property
+    def log(self) -> DataFrame:
+        return self._flow.log(*self._datasets)

@@ -19,6 +19,8 @@ def tune(spark: SparkSession) -> SparkSession:
         # ... also where that costs one more shuffle further up the plan
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
+        # overflow and invalid casts fail instead of giving a wrong value
+        "spark.sql.ansi.enabled": "true",
     }.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
