@@ -138,7 +138,7 @@ def asof_attribute(spark, sf_dir):
                                               F.col("o_orderpriority").alias("category"))
     l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_quantity", "l_shipdate").join(o, "l_orderkey")
     own = F.when(F.col("l_linenumber") == 1, F.col("l_linestatus"))
-    at = thursday(F.date_trunc("week", "l_shipdate").cast("date"))
+    at = thursday(F.trunc(F.col("l_shipdate").cast("date"), "week"))
     rows = asof(l.withColumn("own", own), h, _KEYS, at, ["status"])
     rows = with_fallback(rows, "attribute", [("asof_status", "HISTORY"), ("own", "OWN")], "NONE", "origin")
     return rows.groupBy("attribute", "origin").agg(F.count("*").alias("n_rows"), F.sum("l_quantity").alias("quantity"))
@@ -151,7 +151,7 @@ def open_weeks(spark, sf_dir):
     """Rows recorded before the week of the shipment was over."""
     from ..functions import iso_label
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    start = F.date_trunc("week", "l_shipdate").cast("date")
+    start = F.trunc(F.col("l_shipdate").cast("date"), "week")
     l = table(spark, sf_dir, "lineitem").select("l_orderkey", start.alias("start"), F.date_add(start, 6).alias("week_end")).join(o, "l_orderkey")
     return l.groupBy(iso_label("start").alias("year_week")).agg(
         F.count("*").alias("n_rows"), F.count_if(open_at("o_orderdate", "week_end")).alias("open_rows"))

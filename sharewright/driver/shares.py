@@ -82,7 +82,7 @@ def _lines(spark, sf_dir):
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
         F.concat(F.lit("M"), text(number % 5)).alias("manufacturer"), F.when(number % 6 == 0, "Y").otherwise("N").alias("is_own_product"))
     l = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", iso_label(F.date_trunc("week", "l_shipdate").cast("date")).alias("year_week"), F.col("l_suppkey").alias("store_id"),
+        "l_partkey", iso_label(F.trunc(F.col("l_shipdate").cast("date"), "week")).alias("year_week"), F.col("l_suppkey").alias("store_id"),
         money("l_extendedprice").alias("sales_value_brl"), F.col("l_quantity").cast("decimal(18,3)").alias("sold_volume_kg"),
         F.col("l_quantity").cast("bigint").alias("units"),
         F.when(F.col("l_discount") >= 0.09, "APROVADO_COM_ALERTA").otherwise("APROVADO").alias("dq_status"),
@@ -130,7 +130,7 @@ def share_national(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
     o = o.join(c.select("c_custkey", "c_nationkey"), "c_custkey").select("l_orderkey", "c_nationkey")
     l = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", iso_label(F.date_trunc("week", "l_shipdate").cast("date")).alias("year_week"), money("l_extendedprice").alias("v"))
+        "l_orderkey", "l_partkey", iso_label(F.trunc(F.col("l_shipdate").cast("date"), "week")).alias("year_week"), money("l_extendedprice").alias("v"))
     g = l.join(p, "l_partkey").join(o, "l_orderkey").groupBy("year_week", "category", "brand").agg(
         F.sum("v").alias("brand_value"), F.countDistinct("c_nationkey").alias("nations"))
     cell = Window.partitionBy("year_week", "category")                         # one row per brand

@@ -173,7 +173,7 @@ def market_share(fact: DataFrame, removed: DataFrame, stores: DataFrame, chain_c
     key = ["level", "level_value", "year_week"]
     rows = cell_rows(reduced, removed, dims, cuts)
     quality = rows.join(cell_coverage(chain_coverage, dims, cuts), key, "left")
-    quality = stages(quality.select(*key, "coverage_ratio", "quarantine_row_pct"), "quality")
+    quality = quality.select(*key, "coverage_ratio", "quarantine_row_pct")
     open_weeks = reduced.groupBy("year_week").agg(F.max("_open").alias("_week_open")).where(F.col("_week_open"))
     # quality is keyed by the text of the cut; an unnamed cell must not meet the cell of an empty text
     ms = brand_cells(reduced, cuts).withColumn("_cut", F.when(F.col("named"), F.col("level_value"))).join(

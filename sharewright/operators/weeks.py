@@ -9,7 +9,7 @@ from ..functions import iso_label, iso_month, iso_year, monday_sequence
 
 def calendar_of(df: DataFrame, day: str) -> DataFrame:
     """One row per ISO week in which `day` occurs (aggregated on the map side, bounded by the date range)."""
-    start = F.date_trunc("week", F.col(day)).cast("date")
+    start = F.trunc(F.col(day).cast("date"), "week")
     return df.select(start.alias("week_start_date")).distinct().select(
         iso_label("week_start_date").alias("year_week"), "week_start_date",
         F.date_add("week_start_date", 6).alias("week_end_date"),

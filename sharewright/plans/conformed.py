@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
-from ..operators.rules import RuleFlow
+from ..operators.rules import RuleFlow, rule_log
 
 
 class Conformed:
@@ -27,6 +27,11 @@ class Conformed:
     def corrections(self) -> DataFrame:
         return self._flow.corrections()
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Counts of the row rules and the dataset rules, before they are described by the catalogue."""
+        return reduce(lambda a, b: a.unionByName(b), [self._flow.counts(), *self._datasets])
+
     @cached_property
     def log(self) -> DataFrame:
-        return self._flow.log(*self._datasets)
+        return rule_log(self.counts, self._flow.catalogue, self._flow.run_id)
