@@ -7,7 +7,7 @@ from ..catalogue import default_catalogue
 from ..functions import blank, normalise
 from ..operators.audit import flag_distribution, guarantees, log_vs_quarantine, log_vs_trail, record_history
 from ..operators.conform import harmonise
-from ..operators.keyed import sample_rows
+from ..operators.keyed import one_row, sample_rows
 from ..operators.rules import RuleFlow, consumable, record
 from ..plans.views import quarantine_queue
 from ..session import Stages
@@ -228,7 +228,7 @@ def step_guarantees(spark, sf_dir):
                     F.count_if(F.array_contains("dq_flags", "LOJ_006")).alias("blank"), F.count("*").alias("kept"))
     total = _accounts(spark, sf_dir).agg(F.count("*").alias("n_in"))
     removed = flow.quarantined().agg(F.count("*").alias("removed"))
-    one = kept.crossJoin(total).crossJoin(removed)                                  # three one-row relations
+    one = one_row(kept, total, removed)
     return guarantees({
         "negative balance": one.select(F.col("neg").alias("violations")),
         "repeated account": one.select(F.col("dup").alias("violations")),

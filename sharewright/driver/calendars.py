@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..catalogue import default_catalogue
 from ..functions import iso_month, iso_year, thursday
 from ..operators.history import asof, close_overlaps, residual_overlaps, successors, with_fallback
-from ..operators.keyed import attach, repeated_keys
+from ..operators.keyed import attach, one_row, repeated_keys
 from ..operators.rules import RuleFlow
 from ..operators.weeks import broken_week, calendar_of, compare_months, open_at, wrong_label
 from ..session import Stages
@@ -120,7 +120,7 @@ def interval_audit(spark, sf_dir):
     total = h.agg(F.count("*").alias("intervals"), F.count_if("closed").alias("closed"))
     left = residual_overlaps(h, _KEYS).agg(F.count("*").alias("overlaps"))
     orders = table(spark, sf_dir, "orders").agg(F.count("*").alias("n"))
-    return total.crossJoin(left).crossJoin(orders).select(                      # one-row relations
+    return one_row(total, left, orders).select(
         "intervals", "closed", "overlaps", (F.col("n") - F.col("intervals")).alias("same_day"))
 
 

@@ -38,14 +38,14 @@ j AS (SELECT b.*, round(pu, 4) AS unit_price, CASE WHEN nl >= 8 THEN 'LOCAL' WHE
         CASE WHEN nl >= 8 THEN round(ml * 1.5, 4) WHEN np >= 20 THEN round(mp * 2.0, 4) END AS high
       FROM b JOIN lo USING (provider, store_id, product_id) JOIN pr USING (product_id))
 SELECT product_id, baseline, count(*) AS n_rows, count_if(unit_price < low OR unit_price > high) AS outside,
-       min(low) AS low, max(high) AS high FROM j GROUP BY ALL""")
+       round(min(low), 2) AS low, round(max(high), 2) AS high FROM j GROUP BY ALL""")
 def price_bands(spark, sf_dir):
     """C20, A2: unit price against the local median, else the product median."""
     out = price_band(_weekly(spark, sf_dir), ["provider", "store_id", "product_id"], "product_id", "value", "units",
                      BAND, Stages(spark, "prices"))
     return out.groupBy("product_id", F.col("price_baseline").alias("baseline")).agg(
         F.count("*").alias("n_rows"), F.count_if("outside_band").alias("outside"),
-        F.min("price_band_low").alias("low"), F.max("price_band_high").alias("high"))
+        F.round(F.min("price_band_low"), 2).alias("low"), F.round(F.max("price_band_high"), 2).alias("high"))
 
 
 _POINTS = """w AS (SELECT l_suppkey AS store_id, CAST(date_trunc('week', l_shipdate) AS DATE) AS d, CAST(sum(l_quantity) AS BIGINT) AS units FROM lineitem GROUP BY ALL),

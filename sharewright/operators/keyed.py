@@ -128,44 +128,66 @@ def running_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
         "_range", "_local", "_offset")
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Several one-row relations with different columns as one row (an aggregate over their union, no join)."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: Column, stages: Stages,
-                 name: str = "median", count: str = "observations") -> DataFrame:
+                 name: str = "median", count: str = "observations", ordered_limit: int = 2_000_000) -> DataFrame:
     """Exact median and count per key for keys of any size.
 
-    Values are counted first (equal values collapse on the map side), then located through coarse logarithmic
-    buckets, so that only the bucket holding the middle ranks is ordered value by value.
+    Equal values are counted first (on the map side). The middle ranks are then located through buckets: logarithmic
+    ones, then linear ones inside the chosen bucket, until the chosen bucket has at most `ordered_limit` distinct
+    values. Only that bucket is ordered value by value, so no task ever orders a whole key.
     """
+    keys = list(keys)
     v = F.col("_v")
     magnitude = F.floor(F.log(F.abs(v)) * 32) + 100_000          # |log| of any double stays below 100 000 / 32
     bucket = F.when(v > 0, magnitude).when(v < 0, -magnitude).otherwise(F.lit(0)).cast("int")
-    counts = (
+    rows = stages(
         df.select(*keys, value.cast("double").alias("_v")).where(v.isNotNull())
-        .groupBy(*keys, "_v").agg(F.count("*").alias("_n")).withColumn("_b", bucket)
-    )
-    counts = stages(counts, "values")
-    upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy(*keys)
-    buckets = (
-        counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-        .withColumn("_end", F.sum("_bn").over(upto)).withColumn(count, F.sum("_bn").over(total))
-        .withColumn("_lo", F.floor((F.col(count) + 1) / 2)).withColumn("_hi", F.floor((F.col(count) + 2) / 2))
-        .withColumn("_start", F.col("_end") - F.col("_bn"))
-        .where(((F.col("_lo") > F.col("_start")) & (F.col("_lo") <= F.col("_end")))
-               | ((F.col("_hi") > F.col("_start")) & (F.col("_hi") <= F.col("_end"))))
-        .select(*keys, "_b", "_start", "_lo", "_hi", count)
-    )
-    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    middle = (
-        attach(counts, stages(buckets, "middle"), [*keys, "_b"], "inner")
-        .withColumn("_upto", F.col("_start") + F.sum("_n").over(inside))
-    )
-
-    def at(rank: str) -> Column:
-        hit = (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_n") < F.col(rank))
-        return F.max(F.when(hit, v))
-
-    return middle.groupBy(*keys).agg(
-        (at("_lo") * 0.5 + at("_hi") * 0.5).alias(name), F.max(count).alias(count))
+        .groupBy(*keys, "_v").agg(F.count("*").alias("_n")), "values")
+    segment: list[str] = []                                       # empty: the whole key
+    while True:
+        part = [*keys, *segment]
+        known = ["_start", count] if segment else []
+        sizes = rows.withColumn("_b", bucket).groupBy(*part, *known, "_b").agg(
+            F.sum("_n").alias("_bn"), F.count("*").alias("_values"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        if not segment:
+            sizes = sizes.withColumns({"_start": F.lit(0).cast("long"),
+                                       count: F.sum("_bn").over(Window.partitionBy(*keys))})   # buckets, not rows
+        upto = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        sizes = sizes.withColumn("_end", F.col("_start") + F.sum("_bn").over(upto)).withColumn(
+            "_start", F.col("_end") - F.col("_bn"))
+        low, high = _middle(count)
+        holds = [(rank > F.col("_start")) & (rank <= F.col("_end")) for rank in (low, high)]
+        chosen = stages(sizes.where(holds[0] | holds[1]).select(
+            *part, "_b", "_start", "_min", "_max", "_values", count, F.when(holds[0], 0).otherwise(1).alias("_which")), "middle")
+        rows = attach(rows.withColumn("_b", bucket).drop("_start", count, "_min", "_max", "_values"), chosen,
+                      [*part, "_b"], "inner")
+        rows = rows.drop("_b", *segment).withColumnRenamed("_which", "_segment")
+        segment = ["_segment"]
+        spread = F.col("_min") < F.col("_max")
+        largest = chosen.agg(F.max(F.when(spread, F.col("_values")))).first()[0]     # one number
+        if (largest or 0) <= ordered_limit:
+            break
+        width = (F.col("_max") - F.col("_min")) / 4096
+        bucket = F.when(spread, F.floor((v - F.col("_min")) / width)).otherwise(F.lit(0)).cast("int")
+    inside = Window.partitionBy(*keys, "_segment").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_upto", F.col("_start") + F.sum("_n").over(inside))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank), v))
+
+    low, high = _middle(count)
+    return rows.groupBy(*keys).agg((at(low) * 0.5 + at(high) * 0.5).alias(name), F.max(count).alias(count))
+
+
+def _middle(count: str) -> tuple[Column, Column]:
+    """The two middle ranks (equal for an odd count)."""
+    return F.floor((F.col(count) + 1) / 2), F.floor((F.col(count) + 2) / 2)
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 5) -> DataFrame:

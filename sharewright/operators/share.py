@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..model import ALERTED, QUARANTINED
 from ..session import Stages
+from .keyed import one_row
 
 Cuts = Mapping[str, Sequence[str]]
 # Publication states of a cell.
@@ -206,7 +207,7 @@ def gate_counts(spark: SparkSession, rows_in: DataFrame, kept: DataFrame, remove
     sums = shares.where(F.col("ms_value").isNotNull()).groupBy("level", "level_value", "year_week", "category").agg(
         F.sum("ms_value").alias("s"))
     f = sums.agg(F.count("*").alias("n_cells"), F.count_if(F.abs(F.col("s") - 1) > tolerance).alias("n_bad"))
-    one = reduce(lambda x, y: x.crossJoin(y), [a, b, c, d, e, f])         # six one-row relations
+    one = one_row(a, b, c, d, e, f)
     gap = F.abs(F.col("v_ok") - F.col("v_published")) + F.abs(F.col("v_published") - F.col("v_whole"))
     columns = sorted({*published.columns, *shares.columns})
     leaked = [x for x in columns if x in forbidden]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..model import APPROVED, CONSUMABLE, QUARANTINED, REJECTED
 from ..operators.audit import excess, expectation_rows, fine_comb, log_vs_quarantine, log_vs_trail
+from ..operators.keyed import one_row
 from ..operators.history import residual_overlaps
 from ..operators.reference import missing_from
 from ..operators.share import OFFICIAL
@@ -60,7 +61,7 @@ def audit_run(t: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], expected
                           F.count_if(F.col("sales_value_brl") < 0).alias("c32"),
                           F.count_if(F.col("dq_status").isin(QUARANTINED, REJECTED)).alias("c35"),
                           F.count_if(F.col("dq_status").isin(*CONSUMABLE)).alias("ok"))
-    facts = arrived.agg(F.count("*").alias("a")).crossJoin(kept).crossJoin(removed)     # one-row relations
+    facts = one_row(arrived.agg(F.count("*").alias("a")), kept, removed)
     parts.append(check("Silver", facts.withColumn("c30", F.col("a") - F.col("k") - F.col("r")),
                        (30, "sales: in - (kept + removed)"), (31, "sales: repeated week x store x code"),
                        (32, "sales: negative value"), (35, "sales: removed status among the kept rows")))
@@ -97,7 +98,7 @@ def audit_run(t: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], expected
         F.sum(F.when(F.col("level") == "NACIONAL", F.col("brand_value_brl"))).alias("v"))
     gold = t["published"].agg(F.count("*").alias("g"), F.sum("sales_value_brl").alias("gv"))
     view = t["official"].agg(F.count("*").alias("w"))
-    one = shares.crossJoin(gold).crossJoin(view).crossJoin(kept.select("ok"))           # one-row relations
+    one = one_row(shares, gold, view, kept.select("ok"))
     parts.append(check("Gold", one.withColumns({
         "c70": F.col("ok") - F.col("g"), "c71": F.round(F.abs(F.col("gv") - F.col("v")) * 100),
         "c76": F.col("w") - F.col("o")}),

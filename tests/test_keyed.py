@@ -91,3 +91,13 @@ def test_copies_then_versions_then_sources(spark, stages):
     assert out[("A", "k2", "h2", 1)][1] == 2 and out[("B", "k2", "h4", 1)] == (None, None, None)
     assert out[("A", "k3", "h5", 1)][2] and out[("B", "k3", "h6", 1)][2]
     assert out[("A", "k4", "h7", 1)] == (None, None, None) and out[("A", None, "h8", 1)][1] == 2
+
+
+def test_exact_median_narrows_until_few_values_are_left(spark, stages):
+    rng = random.Random(9)
+    rows = [("hot", rng.uniform(100, 101)) for _ in range(2001)] + [("same", 5.0)] * 50 + [("neg", -rng.random()) for _ in range(200)]
+    df = spark.createDataFrame(rows, "key string, v double")
+    out = exact_median(df, ["key"], F.col("v"), stages, ordered_limit=3)
+    expected = df.groupBy("key").agg(F.median("v").alias("m"), F.count("v").alias("n"))
+    both = attach(out, expected, ["key"], "inner")
+    assert both.count() == 3 and both.where((F.abs(F.col("median") - F.col("m")) > 1e-12) | (F.col("observations") != F.col("n"))).count() == 0
