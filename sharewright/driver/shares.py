@@ -16,9 +16,9 @@ from .registry import as_double, money, query, table, text
 
 MIN_COVERAGE, MAX_QUARANTINE = 0.30, 0.12
 
-_BASE = """stores AS (SELECT s_suppkey AS store_id, n_name AS retailer_name, r_name AS channel, CASE WHEN s_acctbal < 0 THEN NULL ELSE 'U' || (s_suppkey % 4) END AS state,
+_BASE = """stores AS (SELECT CASE WHEN s_suppkey % 20 = 7 THEN -1 - s_suppkey ELSE s_suppkey END AS store_id, n_name AS retailer_name, r_name AS channel, CASE WHEN s_acctbal < 0 THEN NULL ELSE 'U' || (s_suppkey % 4) END AS state,
   CASE WHEN s_suppkey % 10 = 0 THEN 'SEM_TERRITORIO' ELSE 'T' || (s_suppkey % 7) END AS territory_id
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 20 <> 7),
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 lines AS (SELECT strftime(l_shipdate, '%G-%V') AS year_week, p_type AS category, p_brand AS brand, 'M' || (CAST(replace(p_brand, 'Brand#', '') AS INTEGER) % 5) AS manufacturer,
   CASE WHEN CAST(replace(p_brand, 'Brand#', '') AS INTEGER) % 6 = 0 THEN 'Y' ELSE 'N' END AS is_own_product, l_suppkey AS store_id,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS sales_value_brl, CAST(l_quantity AS DECIMAL(18,3)) AS sold_volume_kg, CAST(l_quantity AS BIGINT) AS units,
@@ -70,8 +70,9 @@ ms AS (SELECT level, level_value, year_week, category, brand, manufacturer, is_o
 def _stores(spark, sf_dir):
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     k = F.col("s_suppkey")
-    s = table(spark, sf_dir, "supplier").where(k % 20 != 7).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
-    return s.select(k.alias("store_id"), F.col("n_name").alias("retailer_name"), F.col("r_name").alias("channel"),
+    s = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    # some stores are registered under another code: their sales are orphans
+    return s.select(F.when(k % 20 == 7, -1 - k).otherwise(k).alias("store_id"), F.col("n_name").alias("retailer_name"), F.col("r_name").alias("channel"),
                     F.when(F.col("s_acctbal") >= 0, F.concat(F.lit("U"), text(k % 4))).alias("state"),
                     F.when(k % 10 != 0, F.concat(F.lit("T"), text(k % 7))).otherwise(NO_TERRITORY).alias("territory_id"))
 
