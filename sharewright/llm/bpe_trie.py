@@ -18,6 +18,7 @@ from functools import lru_cache
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 MAX_NODES = 1_000_000
@@ -190,10 +191,11 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         trie = _trie(path)
         for batch in batches:
             got = trie.encode(list(batch["text"]))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_tokens": [g[0] for g in got],
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [g[0] for g in got],
                                 "ids": [g[1] for g in got], "decoded": [g[2] for g in got]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_tokens long, ids string, decoded string")
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, n_tokens long, ids string, decoded string").withColumn(
+        "doc_id", F.col("doc_id").cast("long"))
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -203,9 +205,10 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             got = trie.encode(list(batch["text"]))
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": [g[0] for g in got],
+                "doc_id": batch["doc_id"], "n_tokens": [g[0] for g in got],
                 "ids_sha256": [hashlib.sha256(g[1].encode()).hexdigest() for g in got],
                 "decoded_sha256": [hashlib.sha256(g[2].encode("utf-8")).hexdigest() for g in got]})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(
+        run, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumn(
+        "doc_id", F.col("doc_id").cast("long"))

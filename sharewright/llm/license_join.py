@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -42,7 +43,8 @@ TEMPLATES = [
     ("reserved", "copyright all rights reserved"),
 ]
 
-SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
+#: doc_id crosses as a string: a column of numbers with nulls would become floating point on the Python side.
+SCHEMA = ("doc_id string, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
           "score double, n_blocks long")
 
 
@@ -119,7 +121,7 @@ def word_frequencies(docs: DataFrame, vocabulary: frozenset) -> dict[str, int]:
                 lowered = text or ""
                 for block in BLOCK.split(lowered.translate(ASCII_LOWER)):
                     total.update(vocabulary.intersection(WORD.findall(block)))
-        yield pd.DataFrame({"word": list(total), "n": list(total.values())}, columns=["word", "n"])
+        yield pd.DataFrame({"word": list(total), "n": list(total.values())}, columns=["word", "n"]).astype({"word": "object", "n": "int64"})
 
     rows = docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").sum("n").collect()
     return {r[0]: r[1] for r in rows}
@@ -148,6 +150,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, thresho
                              base_labels, ",".join(sorted(labels)), score, n_blocks))
             yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels",
                                               "labels", "score", "n_blocks"]).astype(
-                {"doc_id": "Int64", "first_word": "Int64", "last_word": "Int64"})
+                {"first_word": "Int64", "last_word": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(scan, SCHEMA)
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(scan, SCHEMA).withColumn(
+        "doc_id", F.col("doc_id").cast("long"))

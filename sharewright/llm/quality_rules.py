@@ -101,9 +101,14 @@ def learn_rules(labelled: DataFrame) -> list[list[Condition]]:
     cuts = labelled.select([F.percentile_approx(c, [i / BINS for i in range(1, BINS)], 10000).alias(n)
                             for n, c in measures().items()]).first()
     edges = {n: sorted(set(cuts[n] or [])) for n in names}
-    bins = labelled.select("*", F.array(*[F.struct(F.lit(n).alias("m"), F.size(F.filter(
-        F.array(*[F.lit(float(e)) for e in edges[n]]) if edges[n] else F.array().cast("array<double>"),
-        lambda e, c=measures()[n]: c > e)).alias("b")) for n in names]).alias("bins"))
+    def bin_of(name, value):
+        at = F.lit(0)
+        for edge in edges[name]:
+            at = at + (value > F.lit(float(edge))).cast("int")
+        return at
+
+    bins = labelled.select("*", F.array(*[
+        F.struct(F.lit(name).alias("m"), bin_of(name, value).alias("b")) for name, value in measures().items()]).alias("bins"))
 
     def best(rule, rest):
         rows = bins.filter(rest & grow_rows & conjunction(rule)).select("bad", F.explode("bins").alias("x"))

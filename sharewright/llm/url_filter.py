@@ -25,7 +25,7 @@ BASE_RULES = [
 #: Globs of the method for URLs without a base rule: they block; all else is allowed.
 OWN_RULES = ["**.ads.**", "**/wp-login**", "**/cgi-bin/**", "**.exe", "**.zip", "**?**sessionid=**", "**/tracker/*"]
 
-SCHEMA = "page_id long, host string, path string, rule string, verdict string, own_rule string"
+SCHEMA = "page_id string, host string, path string, rule string, verdict string, own_rule string"
 
 
 class GlobAutomaton:
@@ -119,17 +119,18 @@ def filter_urls(pages: DataFrame, base=BASE_RULES, own=OWN_RULES) -> DataFrame:
                 rule.append(None if first is None else base[first][1] + base[first][2])
                 verdict.append(base[first][0] if first is not None else "block" if mine is not None else "allow")
                 own_rule.append(mine)
-            yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "host": batch["host"],
+            yield pd.DataFrame({"page_id": batch["page_id"], "host": batch["host"],
                                 "path": batch["path"], "rule": pd.Series(rule, dtype=object),
                                 "verdict": pd.Series(verdict, dtype=object),
                                 "own_rule": pd.Series(own_rule, dtype=object)})
 
     rest = F.expr("case when instr(url, '://') > 0 then substring(url, instr(url, '://') + 3) else '' end")
-    parts = pages.select("page_id", F.coalesce(rest, F.lit("")).alias("rest")).select(
+    parts = pages.select(F.col("page_id").cast("string"), F.coalesce(rest, F.lit("")).alias("rest")).select(
         "page_id",
         F.translate(F.regexp_extract("rest", r"(?s)^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                     "abcdefghijklmnopqrstuvwxyz").alias("host"),
         F.regexp_extract("rest", r"(?s)^[^/?#]*([^?#]*)", 1).alias("path"),
         F.regexp_extract("rest", r"(?s)^[^?#]*(\?[^#]*)", 1).alias("query"),
     )
-    return parts.withColumn("canonical", F.concat(F.lit("."), "host", "path", "query")).mapInPandas(judge, SCHEMA)
+    return parts.withColumn("canonical", F.concat(F.lit("."), "host", "path", "query")).mapInPandas(
+        judge, SCHEMA).withColumn("page_id", F.col("page_id").cast("long"))
