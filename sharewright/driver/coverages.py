@@ -55,7 +55,7 @@ def _inputs(spark, sf_dir):
 def _conformed(spark, sf_dir):
     stages = Stages(spark, "coverage")
     raw, calendar, stores, arrived = _inputs(spark, sf_dir)
-    known = stores.where(F.col("retailer_name") != "24")
+    known = stores.withColumn("retailer_name", F.when(F.col("retailer_name") == "24", "24 renamed").otherwise(F.col("retailer_name")))
     return conform_coverage(stages(raw, "raw"), stages(calendar, "calendar"), stages(known, "stores"), arrived,
                             default_catalogue(), stages)
 

@@ -69,17 +69,10 @@ def aliases(df: DataFrame, keys: Sequence[str], identifier: str, survivor: str)
         *keys, F.col(survivor).alias("survivor"), F.col(identifier).alias("alias"))
 
 
-def alias_lists(alias_rows: DataFrame, keys: Sequence[str], limit: int = 1000,
-                name: str = "alias_ids") -> DataFrame:
-    """Sorted list of aliases per key. Keys with more than `limit` aliases keep a NULL list here and are
-    read from `aliases()`, which always has all of them."""
-    sizes = alias_rows.groupBy(*keys, "survivor").agg(F.count("*").alias("n_aliases"))
-    small = sizes.where(F.col("n_aliases") <= limit).select(*keys)
-    lists = (
-        attach(alias_rows, small, keys, "left_semi")
-        .groupBy(*keys).agg(F.array_sort(F.collect_set("alias")).alias(name))
-    )
-    return attach(sizes, lists, keys)
+def alias_lists(alias_rows: DataFrame, keys: Sequence[str], name: str = "alias_ids") -> DataFrame:
+    """Sorted list and number of the aliases of a key, whatever their number; `aliases()` has them one row each."""
+    lists = alias_rows.groupBy(*keys, "survivor").agg(F.array_sort(F.collect_set("alias")).alias(name))
+    return lists.select(*keys, "survivor", F.size(name).cast("long").alias("n_aliases"), name)
 
 
 def number_copies(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "copy",
@@ -145,7 +138,9 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: Column, stages: Stag
     keys = list(keys)
     v = F.col("_v")
     magnitude = F.floor(F.log(F.abs(v)) * 32) + 100_000          # |log| of any double stays below 100 000 / 32
-    bucket = F.when(v > 0, magnitude).when(v < 0, -magnitude).otherwise(F.lit(0)).cast("int")
+    infinite, largest_bucket = F.abs(v) == float("inf"), F.lit(200_001)
+    bucket = (F.when(F.isnan(v), largest_bucket + 1).when(infinite & (v > 0), largest_bucket).when(infinite, -largest_bucket)
+              .when(v > 0, magnitude).when(v < 0, -magnitude).otherwise(F.lit(0)).cast("int"))
     rows = stages(
         df.select(*keys, value.cast("double").alias("_v")).where(v.isNotNull())
         .groupBy(*keys, "_v").agg(F.count("*").alias("_n")), "values")

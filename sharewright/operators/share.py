@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..settings import CUTS
 from ..model import ALERTED, QUARANTINED
 from ..session import Stages
 from .keyed import one_row
@@ -187,7 +188,8 @@ def market_share(fact: DataFrame, removed: DataFrame, stores: DataFrame, chain_c
 
 # ------------------------------------------------------------------ gates
 def gate_counts(spark: SparkSession, rows_in: DataFrame, kept: DataFrame, removed: DataFrame, published: DataFrame,
-                shares: DataFrame, tolerance: float, forbidden: Sequence[str]) -> DataFrame:
+                shares: DataFrame, tolerance: float, forbidden: Sequence[str],
+                cuts: Mapping[str, Sequence[str]] = CUTS) -> DataFrame:
     """GLD_001..005 as counts (regra_id, alvo, avaliados, falhas, detalhes): one aggregate per table, no collect.
 
     rows_in: everything that arrived; kept: conformed rows with dq_status; removed: quarantined and rejected rows.
@@ -200,7 +202,8 @@ def gate_counts(spark: SparkSession, rows_in: DataFrame, kept: DataFrame, remove
                  F.coalesce(F.sum(F.when(ok, F.col("sales_value_brl"))), F.lit(0)).alias("v_ok"))
     c = removed.agg(F.count("*").alias("n_removed"))
     d = published.agg(F.count("*").alias("n_published"), value.alias("v_published"))
-    whole = F.col("level_value") == _WHOLE
+    # by the cut, not by the label: a chain or a territory may have the name of the whole
+    whole = F.col("level").isin(*[name for name, columns in cuts.items() if not columns])
     n_official = F.count_if(F.col("ms_status").isin(OFFICIAL, NO_SALE))
     e = shares.agg(F.coalesce(F.sum(F.when(whole, F.col("brand_value_brl"))), F.lit(0)).alias("v_whole"),
                    F.count("*").alias("n_shares"), n_official.alias("n_official"))

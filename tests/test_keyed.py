@@ -57,8 +57,16 @@ def test_survivor_and_aliases(spark, stages):
     assert {r.id: r.survivor for r in s.collect()} == {"P3": "P2", "P2": "P2", "P9": "P2", "P1": "P1"}
     rows = aliases(s, ["ean"], "id", "survivor")
     assert alias_lists(rows, ["ean"]).first().alias_ids == ["P3", "P9"]
-    short = alias_lists(rows, ["ean"], limit=1).first()
-    assert short.alias_ids is None and short.n_aliases == 2 and rows.count() == 2       # complete in the rows
+    many = spark.createDataFrame([("e", "P0", f"A{i:05d}") for i in range(3000)], "ean string, survivor string, alias string")
+    whole = alias_lists(many, ["ean"]).first()
+    assert whole.n_aliases == 3000 and whole.alias_ids == [f"A{i:05d}" for i in range(3000)]
+
+
+def test_median_of_infinite_values(spark, stages):
+    inf = float("inf")
+    df = spark.createDataFrame([("a", inf), ("a", inf), ("a", 1.0), ("b", -inf), ("b", 2.0), ("b", 3.0)], "key string, v double")
+    out = {r.key: r.median for r in exact_median(df, ["key"], F.col("v"), stages).collect()}
+    assert out == {"a": inf, "b": 2.0}
 
 
 def test_latest_and_samples(skewed):
