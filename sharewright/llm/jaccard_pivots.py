@@ -1,11 +1,11 @@
 """Near duplicates by an exact n-gram Jaccard join with pivots.
 
 Documents with equal shingle sets are one class. A rare-first prefix of every set leads documents that can be linked to a
-common bucket. In a bucket, pivots stand for regions: every member is compared with the bucket's pivots (Jaccard distance
+common bucket; of buckets with the same members one stays. In a bucket, pivots stand for regions: every member is compared with the bucket's pivots (Jaccard distance
 is a metric), members within the radius are linked to the pivot, and the distances bound all others by the triangle
 inequality: members whose distances to a pivot differ by more than the radius cannot be linked. Classes already connected
 need no more comparing; buckets still holding several components get new pivots, and what the windows leave of them is
-compared exactly. Components are the same as those of all links.
+compared exactly. Sizes and parity sketches rule out most unlike pairs before their sets are read. Components are the same as those of all links.
 
 The order of shingles (by the count of their cell in a table of fixed size, then by value) serves the choice of rare ones
 only: any order gives the same links. Shingles and sets are told by 64-bit digests.
@@ -16,7 +16,7 @@ doc_ids: linked like others, component_id is the smallest id that is not null (n
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,9 @@ from sharewright.session import Stages
 
 SHINGLE, PERCENT = 5, 80
 CELLS = 1 << 16
-PIVOT_ROUNDS = 3
+SKETCH_BITS = 1024
+#: Rounds end when the comparisons left are below CHEAP for each member, after PIVOT_ROUNDS at the latest.
+PIVOT_ROUNDS, CHEAP = 6, 8
 
 
 def shingle_sets(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
@@ -56,6 +58,8 @@ def components(stages: Stages, links: DataFrame) -> DataFrame:
 
 def _distances(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """a, b, shared, whole (sizes of intersection and union), distance of the pairs."""
+    # only sets that a pair names are shuffled
+    sets = sets.join(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "id", "left_semi")
     x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
@@ -65,21 +69,74 @@ def _distances(sets: DataFrame, pairs: DataFrame) -> DataFrame:
         "distance", 1 - F.col("shared") / F.col("whole"))
 
 
+def _cell_counts(rows: DataFrame) -> np.ndarray:
+    """Shingles of all rows in each cell: at most CELLS rows from a task, and CELLS rows at the driver."""
+    def count(batches):
+        total = np.zeros(CELLS, dtype=np.int64)
+        for batch in batches:
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(values % CELLS, minlength=CELLS)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+
+    times = np.zeros(CELLS, dtype=np.int64)
+    for cell, n in rows.select("shingles").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
+        times[cell] = n
+    return times
+
+
 def _prefixes(sets: DataFrame, times: np.ndarray, percent: int) -> DataFrame:
     """bucket, id, n: the rarest shingles of each set, one of which any two linked sets share."""
     def cut(batches):
         for batch in batches:
-            found, ids, sizes = [], [], []
-            for id_, shingles in zip(batch["id"], batch["shingles"]):
-                values = np.asarray(shingles, dtype=np.int64)
-                keep = len(values) - -(-len(values) * percent // 100) + 1
-                found.append(values[np.lexsort((values, times[values % CELLS]))[:keep]])
-                ids.append(np.full(len(found[-1]), id_, dtype=np.int64))
-                sizes.append(np.full(len(found[-1]), len(values), dtype=np.int32))
-            if found:
-                yield pd.DataFrame({"bucket": np.concatenate(found), "id": np.concatenate(ids), "n": np.concatenate(sizes)})
+            ids, column = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            values = column.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(column.offsets.to_numpy())
+            keep = sizes - -(-sizes * percent // 100) + 1
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((values, times[values % CELLS], owner))
+            place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            order = order[place < np.repeat(keep, sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(values[order]), pa.array(ids[owner[order]]),
+                                              pa.array(sizes[owner[order]], pa.int32())], ["bucket", "id", "n"])
+
+    return sets.select("id", "shingles").mapInArrow(cut, "bucket long, id long, n int")
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """id, n, sketch: SKETCH_BITS parity bits of each set. Bits in which two sketches differ are a lower bound of the number
+    of shingles in which the sets differ."""
+    def draw(batches):
+        for batch in batches:
+            column = batch.column(1)
+            values = column.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(column.offsets.to_numpy())
+            cell = np.repeat(np.arange(len(sizes)), sizes) * SKETCH_BITS + (values & (SKETCH_BITS - 1))
+            parity = (np.bincount(cell, minlength=len(sizes) * SKETCH_BITS) & 1).astype(np.uint8)
+            longs = np.packbits(parity).view(np.int64)
+            ends = np.arange(len(sizes) + 1, dtype=np.int32) * (SKETCH_BITS // 64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()),
+                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(longs))], ["id", "n", "sketch"])
+
+    return sets.select("id", "shingles").mapInArrow(draw, "id long, n long, sketch array<bigint>")
 
-    return sets.select("id", "shingles").mapInPandas(cut, "bucket long, id long, n int")
+
+def _possible(sketches: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches allow to be linked: linked sets differ in at most
+    (100 - percent) / (100 + percent) of their shingles together."""
+    x = sketches.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
+    y = sketches.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+    differ = F.aggregate(F.zip_with("ka", "kb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
+    return pairs.select("a", "b").join(x, "a").join(y, "b").filter(
+        (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+        & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b")
+
+
+def _unlike_buckets(members: DataFrame) -> DataFrame:
+    """Members of one bucket for each set of members: the others ask for the same comparisons."""
+    marks = members.groupBy("bucket").agg(F.expr("bit_xor(id)").alias("m1"), F.expr("bit_xor(xxhash64(id))").alias("m2"),
+                                          F.count(F.lit(1)).alias("k"))
+    return members.join(marks.groupBy("m1", "m2", "k").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
 
 
 def _label(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -96,6 +153,12 @@ def _open_buckets(members: DataFrame) -> DataFrame:
         "bucket")
 
 
+def _pairs_left(members: DataFrame) -> int:
+    """Comparisons that the exact step would make: members of a bucket times those outside its largest component."""
+    return members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(
+        (F.sum("k") * (F.sum("k") - F.max("k"))).alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
+
+
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     spark = docs.sparkSession
@@ -106,16 +169,14 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
         F.monotonically_increasing_id().alias("rid")), "rows")
     full = rows.filter("n > 0")
     chosen = stages(full.groupBy("id").agg(F.min("rid").alias("rid")).select("rid"), "chosen")
-    sets = stages(full.join(chosen, "rid", "left_semi").select("id", "n", "shingles"), "sets")
-    times = np.zeros(CELLS, dtype=np.int64)
-    # one number per cell: at most CELLS rows come to the driver
-    for cell, count in sets.select(F.explode("shingles").alias("s")).groupBy(
-            F.pmod("s", F.lit(CELLS)).alias("cell")).count().collect():
-        times[cell] = count
-    members = stages(_prefixes(sets, times, percent), "prefixes")
-    shared = stages(members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-                    .filter("lo <> hi").select("bucket"), "shared")
-    members = stages(members.join(shared, "bucket"), "members")
+    sets = full.join(chosen, "rid", "left_semi").select("id", "n", "shingles")
+    members = stages(_prefixes(sets, _cell_counts(rows), percent), "prefixes")
+    # a set has a shingle once, so a bucket counted twice holds two classes; the count packs better than two ids
+    shared = stages(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket"), "shared")
+    members = stages(_unlike_buckets(stages(members.join(shared, "bucket"), "shared-members")), "members")
+    # only classes that share a bucket are ever compared
+    sets = stages(sets.join(members.select("id").distinct(), "id", "left_semi"), "sets")
+    sketches = stages(_sketches(sets), "sketches")
     links, labels, windows = None, None, []
     # rows of one doc_id that differ in text belong together
     twins = stages(full.filter("doc_id is not null").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"))
@@ -125,35 +186,38 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
         labels = components(stages, links)
         members = _label(members, labels)
         members = stages(members.join(_open_buckets(members), "bucket"), "open")
+        if turn and _pairs_left(members) <= CHEAP * members.count():
+            break
         # a pivot is the member with the least draw, so that buckets with common members choose the same pivots
         pivots = members.groupBy("bucket").agg(
             F.min(F.struct(F.xxhash64("id", F.lit(turn)), F.col("id"), F.col("n"))).alias("p")).select(
             "bucket", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"))
         placed = stages(members.join(pivots, "bucket"), "placed")
-        near_size = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
-        pairs = stages(placed.filter((F.col("id") != F.col("pivot")) & near_size).select(
-            F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
-        far = stages(_distances(sets, pairs), "distances")
+        pairs = placed.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+        far = stages(_distances(sets, stages(_possible(sketches, pairs, percent), "pairs")), "distances")
         links = stages(links.union(far.filter(F.col("shared") * 100 >= F.col("whole") * percent).select("a", "b")), "links")
         window = f"w{turn}"
         windows.append(window)
-        members = stages(placed.join(far.select(F.col("a").alias("id"), F.col("b").alias("pivot"),
-                                                F.col("distance").alias("d")), ["id", "pivot"], "left").select(
-            "bucket", "id", "n", *windows[:-1],
-            F.when(F.col("id") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias(window)), "windows")
-    labels = components(stages, links)
-    members = _label(members, labels)
-    members = stages(members.join(_open_buckets(members), "bucket"), "rest")
-    x, y = members.alias("x"), members.alias("y")
+        # the pivot has been compared with the whole bucket and leaves it
+        members = stages(placed.filter("id <> pivot").join(far.select(
+            F.col("a").alias("id"), F.col("b").alias("pivot"), F.col("distance").alias(window)), ["id", "pivot"], "left").select(
+            "bucket", "id", "n", *windows), "windows")
+    else:
+        members = _label(members, components(stages, links))
+        members = stages(members.join(_open_buckets(members), "bucket"), "rest")
+    # of two members of unlike components one at least is outside the bucket's largest component
+    counts = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
+    largest = counts.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("m")).select("bucket", F.col("m.label").alias("main"))
+    x = members.alias("x")
+    y = stages(members.join(largest, "bucket").filter("label <> main").drop("main"), "outside").alias("y")
     # windows of the triangle inequality; an unknown distance excludes nothing
     inside = [F.coalesce(F.abs(F.col(f"x.{w}") - F.col(f"y.{w}")) <= radius, F.lit(True)) for w in windows]
-    condition = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.n") <= F.col("y.n"))
-                 & (F.col("x.id") != F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-                 & (F.col("x.n") * 100 >= F.col("y.n") * percent))
+    condition = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label"))
+                 & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent))
     for test in inside:
         condition = condition & test
-    pairs = stages(x.join(y, condition).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-                   .distinct(), "pairs")
+    pairs = x.join(y, condition).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    pairs = stages(_possible(sketches, pairs, percent), "pairs")
     links = stages(links.union(_distances(sets, pairs).filter(F.col("shared") * 100 >= F.col("whole") * percent)
                                .select("a", "b")), "links")
     labels = components(stages, links)
