@@ -2,7 +2,8 @@
 
 A rule becomes a run of bits: bit 0 is "nothing read", bit k is "k signs read"; a wildcard keeps its bit alive. The bits of
 all rules are packed into 64-bit words, and one shift, one mask and one self-loop mask per sign advance every rule.
-Globs: ``*`` any signs but ``/``, ``**`` any signs; other signs stand for themselves.
+Globs: ``*`` any signs but ``/``, ``**`` any signs; other signs stand for themselves. Base rules see host and path only:
+their ``*`` stands inside the host and stops at ``?`` too.
 The canonical URL is ``.host/path?query``: host lower-cased (A-Z), fragment dropped.
 
 Null or URL without ``://``: host and path empty, no base rule fits, and the canonical URL is a single dot.
@@ -29,25 +30,26 @@ SCHEMA = "page_id string, host string, path string, rule string, verdict string,
 
 
 class GlobAutomaton:
-    """Multiword Shift-And over a list of globs."""
+    """Multiword Shift-And over a list of globs; in the first ``n_base`` of them ``*`` stops at ``?`` as well."""
 
-    def __init__(self, globs: list[str]):
+    def __init__(self, globs: list[str], n_base: int = 0):
         self.globs = globs
         parsed = [self._parse(g) for g in globs]
         width = sum(len(signs) + 1 for signs, _ in parsed)
         self.n_words = max(1, (width + 63) // 64)
-        letters = sorted({s for signs, _ in parsed for s in signs if s is not None} | {"/"})
+        letters = sorted({s for signs, _ in parsed for s in signs if s is not None} | {"/", "?"})
         self.letters = np.array([ord(c) for c in letters], dtype=np.uint32)
         # sign 0 stands for every sign no glob names
         step, loop = self._zero(len(letters) + 1), self._zero(len(letters) + 1)
         start, last, self.final = self._zero(1)[0], self._zero(1)[0], []
         bit = 0
-        for signs, loops in parsed:
+        for number, (signs, loops) in enumerate(parsed):
+            stops = "/?" if number < n_base else "/"
             self._set(start, bit)
             for k in range(len(signs) + 1):
                 if k in loops:
                     for s in range(len(letters) + 1):
-                        if loops[k] == "any" or s == 0 or letters[s - 1] != "/":
+                        if loops[k] == "any" or s == 0 or letters[s - 1] not in stops:
                             self._set(loop[s], bit + k)
                 if k:
                     for s in range(len(letters) + 1):
@@ -106,7 +108,7 @@ class GlobAutomaton:
 def filter_urls(pages: DataFrame, base=BASE_RULES, own=OWN_RULES) -> DataFrame:
     """Verdict of every URL; map-only, the rules are a bounded parameter."""
     base = sorted(base, key=lambda r: (-len(r[1] + r[2]), r[0] != "block", r[1], r[2]))
-    automaton = GlobAutomaton([f"*.{host}{path}**" for _, host, path in base] + list(own))
+    automaton = GlobAutomaton([f"*.{host}{path}**" for _, host, path in base] + list(own), len(base))
     n = len(base)
 
     def judge(batches):

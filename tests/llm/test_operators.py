@@ -157,6 +157,15 @@ def test_urls(spark):
                    9: (None, "allow"), 10: ("com/fr/", "allow"), 11: (None, "allow")}
 
 
+def test_base_rules_see_host_and_path_only(spark):
+    rows = [(1, "http://a.net?u=www.example.org/es/"), (2, "http://a.net?.com/de/x"), (3, "http://b.example.org/es/?u=.com/de/"),
+            (4, "http://a.net/?u=.org/")]
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.filter_urls(
+        spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got == {1: ("a.net", "", None, "allow"), 2: ("a.net", "", None, "allow"),
+                   3: ("b.example.org", "/es/", "example.org/es/", "block"), 4: ("a.net", "/", None, "allow")}
+
+
 def test_bpe_equals_the_library(make_docs):
     tokenizers = pytest.importorskip("tokenizers")
     path = queries.tokenizer_path()
