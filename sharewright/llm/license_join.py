@@ -5,6 +5,10 @@ occur in it. Word frequencies over the blocks of the whole corpus order the word
 positional filters then find every match. Templates are a parameter: their words and their frequencies are bounded by it,
 so the join needs no shuffle of texts.
 
+A sentence wrapped over lines (or cut at ``;``) is matched too: its words are looked up together, and a template met only
+that way counts if a window of half as many words again as the template has meets it. So words strewn over long lines or
+lists are no notice. Blank lines and ``.!?`` end a sentence.
+
 Null text counts as empty: no words, no labels, score 0. Repeated rows are judged one by one; extra columns are ignored.
 """
 from __future__ import annotations
@@ -22,6 +26,8 @@ ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BLOCK = re.compile(r"\n|[.!?;](?=[ \t\r\n]|$)")
 THRESHOLD = 0.9
+#: Half template lengths in a window over wrapped lines.
+WINDOW = 3
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -52,12 +58,31 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").translate(ASCII_LOWER))
 
 
+def sentences_of(text: str | None) -> Iterator[list[list[str]]]:
+    """Sentences as lists of their blocks' words, in order."""
+    lowered = (text or "").translate(ASCII_LOWER)
+    sentence, line_has_words, at = [], False, 0
+    while at <= len(lowered):
+        cut = BLOCK.search(lowered, at)
+        words = WORD.findall(lowered, at, cut.start() if cut else len(lowered))
+        if words:
+            sentence.append(words)
+            line_has_words = True
+        sign = cut.group() if cut else None
+        if sentence and (sign not in ("\n", ";") or sign == "\n" and not line_has_words):
+            yield sentence
+            sentence = []
+        if cut is None:
+            return
+        if sign == "\n":
+            line_has_words = False
+        at = cut.end()
+
+
 def blocks_of(text: str | None) -> Iterator[frozenset]:
-    """Word sets of the sentences of a text."""
-    for block in BLOCK.split((text or "").translate(ASCII_LOWER)):
-        found = frozenset(WORD.findall(block))
-        if found:
-            yield found
+    """Word sets of the blocks of a text."""
+    for sentence in sentences_of(text):
+        yield from map(frozenset, sentence)
 
 
 def base_places(words: list[str], phrases: dict[str, str]) -> list[tuple[int, str]]:
@@ -84,17 +109,17 @@ class TemplateIndex:
                 continue
             need = max(1, math.ceil(threshold * len(tokens) - 1e-9))
             number = len(self.templates)
-            self.templates.append((label, frozenset(tokens), need))
+            self.templates.append((label, frozenset(tokens), need, len(words_of(text))))
             for place in range(len(tokens) - need + 1):
                 self.prefix.setdefault(tokens[place], []).append((number, place, len(tokens), need))
-        self.least = min((need for _, _, need in self.templates), default=1)
+        self.least = min((need for _, _, need, _ in self.templates), default=1)
 
-    def matches(self, block: frozenset) -> list[tuple[str, float]]:
-        """Label and containment of every template met by the block."""
+    def matches(self, block: frozenset) -> dict[int, float]:
+        """Number and containment of every template met by the block."""
         rank = self.rank
         mine = sorted(rank[w] for w in block if w in rank)
         if len(mine) < self.least:
-            return []
+            return {}
         seen: dict[int, bool] = {}
         for j, token in enumerate(mine):
             for number, place, length, need in self.prefix.get(token, ()):
@@ -102,15 +127,31 @@ class TemplateIndex:
                 if number not in seen:
                     seen[number] = len(mine) >= need and 1 + min(length - place - 1, len(mine) - j - 1) >= need
         have = set(mine)
-        out = []
+        out = {}
         for number, alive in seen.items():
             if alive:
-                label, tokens, need = self.templates[number]
+                _, tokens, need, _ = self.templates[number]
                 shared = len(tokens & have)
                 if shared >= need:
-                    out.append((label, shared / len(tokens)))
+                    out[number] = shared / len(tokens)
         return out
 
+    def wrapped(self, sentence: list[list[str]], number: int) -> float:
+        """Largest containment of a template in a window of the sentence's words; 0 if no window meets it."""
+        _, tokens, need, length = self.templates[number]
+        ranks = [self.rank.get(w) for block in sentence for w in block]
+        inside, best, width = Counter(), 0, length * WINDOW // 2
+        for i, rank in enumerate(ranks):
+            if rank in tokens:
+                inside[rank] += 1
+            gone = ranks[i - width] if i >= width else None
+            if gone in tokens:
+                inside[gone] -= 1
+                if not inside[gone]:
+                    del inside[gone]
+            best = max(best, len(inside))
+        return best / len(tokens) if best >= need else 0.0
+
 
 def word_frequencies(docs: DataFrame, vocabulary: frozenset) -> dict[str, int]:
     """Blocks of the whole corpus that hold each template word; at most one row per template word."""
@@ -140,11 +181,19 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, thresho
                 base = base_places(words, phrases)
                 labels, score, n_blocks = {label for _, label in base}, 1.0 if base else 0.0, 0
                 base_labels = ",".join(sorted(labels))
-                for block in blocks_of(text):
-                    found = index.matches(block)
-                    n_blocks += bool(found)
-                    for label, part in found:
-                        labels.add(label)
+                for sentence in sentences_of(text):
+                    alone = [index.matches(frozenset(block)) for block in sentence]
+                    found = [(number, part) for met in alone for number, part in met.items()]
+                    n_blocks += sum(map(bool, alone))
+                    if len(sentence) > 1:
+                        met = {number for number, _ in found}
+                        together = [(number, index.wrapped(sentence, number))
+                                    for number in index.matches(frozenset().union(*sentence))]
+                        together = [(number, part) for number, part in together if part]
+                        n_blocks += any(number not in met for number, _ in together)
+                        found += together
+                    for number, part in found:
+                        labels.add(index.templates[number][0])
                         score = max(score, part)
                 rows.append((doc_id, len(words), len(base), base[0][0] if base else None, base[-1][0] if base else None,
                              base_labels, ",".join(sorted(labels)), score, n_blocks))

@@ -63,6 +63,20 @@ def test_license_matches_equal_brute_force(make_docs):
     assert got[10, 5].labels == "mit" and got[13, 7].labels == "cc-by,cc-by-nc"
 
 
+def test_wrapped_license_notices_are_met(make_docs):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           'of this software and associated documentation files (the "Software"), to deal\nin the Software.')
+    bsd = "# Redistribution and use in source and binary forms, with or without\r\n# modification, are permitted provided that"
+    gpl = "This program is free software;\nyou can redistribute it and/or modify it under the terms\nof the GNU General\nPublic License."
+    strewn = "die mit ihnen " + prose(20) + "\n"
+    texts = [(1, mit), (2, bsd), (3, gpl), (4, mit.replace(" a copy\n", " a copy\n \n")), (5, mit.replace(" ", "\n")),
+             (6, strewn + "Licensed under the Apache License, version 2.0."), (7, strewn * 3 + "released under the\nlicense"),
+             (8, "Licensed under the\nMIT License\nReleased under the MIT License")]
+    got = {r.doc_id: (r.labels, r.score, r.n_blocks) for r in license_join.scan_licenses(make_docs(texts)).collect()}
+    assert got == {1: ("mit", 1.0, 1), 2: ("bsd", 1.0, 1), 3: ("gpl", 1.0, 1), 4: ("", 0.0, 0), 5: ("mit", 1.0, 1),
+                   6: ("apache-2.0", 1.0, 1), 7: ("", 0.0, 0), 8: ("mit", 1.0, 2)}
+
+
 def test_quality_counts_equal_brute_force_and_rules_are_learned(spark, make_docs):
     texts = ODD + [(20, "a b c d e a b c d e a b c d e"), (21, "same line\nsame line\n\n \nsame line"), (22, "## $ | <x>")]
     for r in quality_rules.statistics(make_docs(texts)).filter("doc_id >= 20").collect():
