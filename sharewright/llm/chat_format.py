@@ -72,12 +72,21 @@ def read_chats(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("turns", F.flatten(F.transform(blocks, block)))
 
 
+def learnt_text(chats: DataFrame) -> DataFrame:
+    """Adds ``learnt``: what the loss mask cuts out of ``formatted``, unescaped."""
+    ends = F.aggregate(
+        "loss_runs", F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("spans")),
+        lambda a, r: F.struct(
+            (a["at"] + r["skip"] + r["learn"] + r["skip_after"]).alias("at"),
+            F.concat(a["spans"], F.array(F.substr(F.col("formatted"), a["at"] + r["skip"], r["learn"]))).alias("spans")))
+    return chats.withColumn("learnt", F.array_join(F.transform(ends["spans"], unescape), ""))
+
+
 def chat_digests(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """What a reader gets back from the formatted conversations."""
-    back = read_chats(format_chats(turns, loss_role))
+    """What a reader gets back from the formatted conversations, and what the loss mask cuts out of them."""
+    back = learnt_text(read_chats(format_chats(turns, loss_role)))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learnt = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == F.lit(loss_role)), lambda t: t["text"]), "")
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), said.alias("said"),
-                       learnt.alias("learnt"), F.length("formatted").cast("long").alias("formatted_chars")).select(
+                       "learnt", F.length("formatted").cast("long").alias("formatted_chars")).select(
         "conv_id", "n_turns", F.sha2("said", 256).alias("turns_sha256"), F.length("learnt").cast("long").alias("loss_chars"),
         F.sha2("learnt", 256).alias("loss_sha256"), "formatted_chars")

@@ -112,6 +112,19 @@ def test_chats_are_read_back(spark):
     assert chat_format.chat_digests(frame.limit(0)).count() == 0
 
 
+def test_a_wrong_loss_mask_changes_the_digests(spark, monkeypatch):
+    rows = [(1, 0, "user", "a<|b"), (1, 1, "assistant", "x<|y"), (1, 2, "assistant", "é😀")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert chat_format.chat_digests(frame).first().loss_sha256 == hashlib.sha256("x<|yé😀".encode()).hexdigest()
+    right = chat_format.format_chats
+
+    def shifted(*args):
+        return right(*args).withColumn("loss_runs", F.transform("loss_runs", lambda r: r.withField("skip", r["skip"] - 1)
+                                                                .withField("skip_after", r["skip_after"] + 1)))
+    monkeypatch.setattr(chat_format, "format_chats", shifted)
+    assert chat_format.chat_digests(frame).first().loss_sha256 != hashlib.sha256("x<|yé😀".encode()).hexdigest()
+
+
 def test_fuse_filters_have_no_false_negatives():
     for n in (0, 1, 2, 7, 5000):
         keys = np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64)
