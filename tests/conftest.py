@@ -35,7 +35,3 @@ def rules():
 @pytest.fixture
 def stages(spark):
     return Stages(spark, "test")
-
-
-def failures(log) -> dict[str, int]:
-    return {r["regra_id"]: r["falhas"] for r in log.collect()}

@@ -4,7 +4,7 @@ from dataclasses import replace
 from functools import reduce
 
 import pytest
-from conftest import failures
+from rule_counts import failures
 from pyspark.sql import functions as F
 
 from sharewright.operators.anomaly import price_band, series_anomaly

@@ -1,6 +1,6 @@
 """Rule algebra: flags, corrections, removals, status, log."""
 import pytest
-from conftest import failures
+from rule_counts import failures
 from pyspark.sql import functions as F
 
 from sharewright.model import DIMENSIONS, Catalogue, Rule
