@@ -60,13 +60,23 @@ class Stages:
         self.spark = tune(spark)
         self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._count = 0
+        self._paths: list[tuple[DataFrame, str]] = []
 
     def __call__(self, df: DataFrame, name: str = "stage") -> DataFrame:
         self._count += 1
         path = f"{self.root}/{self._count:03d}-{name}"
         df.write.parquet(path)
         # schema is known: no second look at the files, and nullability and types stay as planned
-        return self.spark.read.schema(df.schema).parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        self._paths.append((staged, path))
+        return staged
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Remove stages that nothing will read any more: all that was derived from them is staged itself."""
+        for frame in frames:
+            for entry in [e for e in self._paths if e[0] is frame]:
+                delete_path(self.spark, entry[1])
+                self._paths.remove(entry)
 
     def close(self) -> None:
         """Drop every stage of this run. Only when all results derived from them are written."""
