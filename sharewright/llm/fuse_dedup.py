@@ -22,9 +22,12 @@ from sharewright.session import Stages
 KEYS_PER_BUCKET = 50_000
 
 
+def lower_ascii(text: Column | str) -> Column:
+    return F.translate(F.col(text) if isinstance(text, str) else text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def normal(text: Column | str) -> Column:
-    return F.translate(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")),
-                       "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return lower_ascii(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
 def _mix(keys: np.ndarray, seed: int) -> np.ndarray:

@@ -3,14 +3,15 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import zlib
 from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sharewright.llm import (bpe_trie, chat_format, fuse_dedup, jaccard_pivots, license_join, line_windows, mixing,
-                             quality_rules, range_shards, url_filter)
+from sharewright.llm import (bpe_trie, chat_format, fuse_dedup, jaccard_pivots, license_join, line_windows, merkle_manifest,
+                             mixing, periodic_runs, quality_rules, range_shards, substring_doubling, url_filter)
 from sharewright.session import tune
 
 
@@ -90,6 +91,44 @@ def near_copies(spark, sf_dir):
     return jaccard_pivots.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def substrings(spark, sf_dir):
+    return substring_doubling.SubstringDedup(table(spark, sf_dir, "documents").select("doc_id", "text")).digests()
+
+
+def merkle(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0,
+                      merkle_manifest.leaf_digest(*values, fuse_dedup.lower_ascii("text")))
+    got = merkle_manifest.manifest(documents, "source", "doc_id", merkle_manifest.leaf_digest(*values, F.col("text")), tampered)
+    return got.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def planted_runs(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words that the contract asks for: periodic from some word on in about one document of ten."""
+    n = len(words)
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + period] * (n // period + 1))[:n - a]
+
+
+def runs(spark, sf_dir):
+    got = periodic_runs.find_runs(table(spark, sf_dir, "documents"), prepare=planted_runs)
+    line = lambda r: F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string"))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("s"), (-r.period).alias("p"))))
+    return got.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), "best.length",
+        (-F.col("best.p")).alias("period"),
+        F.expr("best.length * 1000 div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_license_scan": licenses,
     "op2_source_mixing": mixed_sources,
@@ -101,6 +140,9 @@ QUERIES = {
     "op8_url_filter": url_verdicts,
     "op9_bpe_trie": bpe,
     "op10_jaccard_join": near_copies,
+    "op11_substring_dedup": substrings,
+    "op12_merkle_manifest": merkle,
+    "op13_periodic_runs": runs,
 }
 
 ORACLES = {
@@ -156,4 +198,51 @@ ORACLES = {
             sha256(CASE WHEN gone IS NULL THEN o.text ELSE coalesce(array_to_string(list_filter(string_split(o.text, chr(10)),
                 lambda x, i: NOT list_contains(gone, i)), chr(10)), '') END) AS text_sha256
         FROM documents o LEFT JOIN gone g ON o.doc_id IS NOT DISTINCT FROM g.doc_id AND o.text = g.text""",
+    "op11_substring_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
+            '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        win AS (SELECT rid, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS x FROM d, unnest(range(1, len(w) - 48)) AS u(i)),
+        later AS (SELECT rid, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY x) AS first FROM win) WHERE doc_id > first),
+        gone AS (SELECT rid, list_distinct(flatten(list(range(i, i + 50)))) AS gone FROM later GROUP BY rid)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+            sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+                list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' '), '')) AS kept_sha256
+        FROM d LEFT JOIN gone USING (rid)""",
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE crc AS (SELECT doc_id, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+                list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z:
+                    CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))) AS h FROM documents),
+        enc AS (SELECT doc_id, source, text,
+            concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+            coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head
+            FROM documents),
+        leaf AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered,
+            row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place FROM enc),
+        level AS (SELECT source, 0 AS h, list(leaf ORDER BY place) AS nodes FROM leaf GROUP BY source
+            UNION ALL SELECT source, h + 1, list_transform(range(0, (len(nodes) + 15) // 16),
+                lambda k: sha256(array_to_string(nodes[16 * k + 1:16 * k + 16], ''))) FROM level WHERE len(nodes) > 1),
+        subs AS (SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+            FROM level WHERE len(nodes) = 1),
+        tops AS (SELECT 0 AS h, list(subroot ORDER BY place) AS nodes FROM subs
+            UNION ALL SELECT h + 1, list_transform(range(0, (len(nodes) + 15) // 16),
+                lambda k: sha256(array_to_string(nodes[16 * k + 1:16 * k + 16], ''))) FROM tops WHERE len(nodes) > 1),
+        step AS (SELECT doc_id, h, leaf.place // pow(16, h)::BIGINT AS k, nodes FROM leaf JOIN level
+                ON leaf.source IS NOT DISTINCT FROM level.source WHERE len(nodes) > 1
+            UNION ALL SELECT doc_id, 100 + h, subs.place // pow(16, h)::BIGINT, nodes FROM leaf JOIN subs
+                ON leaf.source IS NOT DISTINCT FROM subs.source, tops WHERE len(nodes) > 1),
+        sib AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY h) AS nth,
+            array_to_string(nodes[k // 16 * 16 + 1:k], '') AS before, array_to_string(nodes[k + 2:k // 16 * 16 + 16], '') AS after
+            FROM step),
+        proof AS (SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY nth)) AS proof_sha256 FROM sib GROUP BY doc_id),
+        fold AS (SELECT doc_id, 0 AS nth, CASE WHEN h % 5 = 0 THEN lowered ELSE leaf END AS node FROM leaf JOIN crc USING (doc_id)
+            UNION ALL SELECT f.doc_id, f.nth + 1, sha256(before || node || after) FROM fold f JOIN sib s
+                ON f.doc_id = s.doc_id AND s.nth = f.nth + 1),
+        folded AS (SELECT doc_id, arg_max(node, nth) AS folded_root FROM fold GROUP BY doc_id)
+        SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+            folded_root = root AS verified
+        FROM leaf JOIN subs ON leaf.source IS NOT DISTINCT FROM subs.source JOIN folded USING (doc_id)
+            LEFT JOIN proof USING (doc_id), (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1)""",
 }
