@@ -116,3 +116,47 @@ def test_dataset_rule_and_empty_input(spark, rules):
     empty = spark.createDataFrame([], "k int, v int")
     row = RuleFlow(empty, rules, "t", ["k"]).check("FCT_014", F.col("v") < 0).log().first()
     assert (row.avaliados, row.falhas, row.pct_falha, row.resultado) == (0, 0, 0.0, "APROVADO")
+
+
+def many_rules(n):
+    return Catalogue([Rule(f"R_{i:03d}", DIMENSIONS[i % len(DIMENSIONS)], "ALTA", "APROVADO_COM_ALERTA" if i % 3 else "QUARENTENA",
+                           "", f"rule {i}", "", "") for i in range(n)])
+
+
+def apply_rule(flow, i):
+    rule, failing = f"R_{i:03d}", F.col("v") % (i + 7) == 3
+    if i % 40 == 0:
+        return flow.quarantine(rule, failing)
+    if i % 10 == 5:
+        return flow.correct(rule, failing, {"v": F.col("v") + 1000})
+    return flow.check(rule, failing, evaluated=F.col("v") > i if i % 4 == 1 else None)
+
+
+def test_a_flow_of_130_rules_equals_the_rules_one_by_one(spark, stages):
+    n = 130
+    df = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 37 % 1009).alias("v"))
+    whole = RuleFlow(df, many_rules(n), "t", ["k"], value="v")
+    rows = {k: k * 37 % 1009 for k in range(400)}
+    log, removed, trail, flags = [], [], [], {k: [] for k in rows}
+    for i in range(n):
+        apply_rule(whole, i)
+        if i in (30, 100):                              # before and after the second mask is opened
+            whole.stage(stages, "half")
+        rule, failing = f"R_{i:03d}", [k for k, v in rows.items() if v % (i + 7) == 3]
+        masked = i % 40 and i % 10 != 5 and i % 4 == 1
+        seen = [k for k in rows if not masked or rows[k] > i]
+        failing = [k for k in failing if k in set(seen)]
+        log.append((rule, len(seen), len(failing), float(sum(rows[k] for k in failing)) if failing else None))
+        for k in failing:
+            if i % 40 == 0:
+                removed.append((rule, f'{{"k":{k}}}', float(rows.pop(k))))
+            elif i % 10 == 5:
+                trail.append((rule, f'{{"k":{k}}}', str(rows[k]), str(rows[k] + 1000)))
+                rows[k] += 1000
+            if i % 40:
+                flags[k].append(rule)
+    assert sorted((r.regra_id, r.avaliados, r.falhas, r.valor_impactado_brl) for r in whole.log().collect()) == sorted(log)
+    assert sorted((r.regra_id, r.chave, r.valor_brl) for r in whole.quarantined().collect()) == sorted(removed)
+    assert sorted((r.regra_id, r.chave, r.valor_antes, r.valor_depois) for r in whole.corrections().collect()) == sorted(trail)
+    assert {r.k: (r.v, r.dq_flags) for r in whole.survivors().collect()} == {k: (v, flags[k]) for k, v in rows.items()}
+    assert not [c for c in whole.survivors().columns if c.startswith("_dq_")]
