@@ -36,12 +36,29 @@ def raw_text_scan(spark, sf_dir):
                      F.col("_source_modified_at").isNotNull().alias("has_time"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE t AS (SELECT c_nationkey, c_custkey, CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' ||
+               CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS line FROM customer),
+     files AS (SELECT CAST(c_nationkey AS VARCHAR) || '.txt' AS source_file, list(line ORDER BY c_custkey) AS lines,
+               sum(strlen(line) + 1)::BIGINT AS length FROM t GROUP BY c_nationkey),
+     level AS (SELECT source_file, 0 AS h, list_transform(lines, lambda x: sha256(x)) AS nodes FROM files
+               UNION ALL
+               SELECT source_file, h + 1, list_transform(range(0, (len(nodes) + 1023) // 1024),
+                      lambda k: sha256(upper(array_to_string(nodes[1024 * k + 1:1024 * k + 1024], '')))) FROM level
+               WHERE h = 0 OR len(nodes) > 1)
+SELECT source_file, sha256(length || '|' || len(lines) || '|' || nodes[1]) AS digest
+FROM files JOIN level USING (source_file) WHERE h > 0 AND len(nodes) = 1""")
 def file_fingerprint(spark, sf_dir):
-    """SHA-256 and line digest of every file of a written table."""
-    path = f"{Stages(spark, 'csv').root}/customer"
-    _customer_text(spark, sf_dir).write.option("header", True).csv(path)
-    return fingerprint(spark, path)
+    """One digest per file, files of customers by nation, written as text and read back in splits."""
+    stages = Stages(spark, "files")
+    c = _customer_text(spark, sf_dir)
+    lines = c.select(F.concat_ws(",", "c_custkey", "c_name", "c_acctbal").alias("value"), "c_nationkey", F.col("c_custkey").cast("long").alias("k"))
+    path = f"{stages.root}/lines"
+    lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "k").select("c_nationkey", "value").write.partitionBy(
+        "c_nationkey").text(path)
+    found = fingerprint(spark, path, stages)
+    nation = F.regexp_extract("source_path", "c_nationkey=([0-9]+)/", 1)
+    return found.select(F.concat(nation, F.lit(".txt")).alias("source_file"), "digest")
 
 
 @query("""
