@@ -36,7 +36,7 @@ def shingle_sets(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     windows = F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.xxhash64(
         *[F.get("w", i + k) for k in range(n)]))).when(
         F.size("w") > 0, F.array(F.xxhash64(F.array_join("w", " "), F.size("w")))).otherwise(F.array().cast("array<bigint>"))
-    return words.select("doc_id", F.array_sort(F.array_distinct(windows)).alias("shingles"))
+    return words.select("doc_id", F.sort_array(F.array_distinct(windows)).alias("shingles"))
 
 
 def components(stages: Stages, links: DataFrame) -> DataFrame:
@@ -178,9 +178,10 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     sets = stages(sets.join(members.select("id").distinct(), "id", "left_semi"), "sets")
     sketches = stages(_sketches(sets), "sketches")
     links, labels, windows = None, None, []
-    # rows of one doc_id that differ in text belong together
-    twins = stages(full.filter("doc_id is not null").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"))
-                   .filter("a <> b").select("a", "b"), "twins")
+    # all sets of a doc_id, however many its rows have, belong to that of its smallest one
+    known = full.filter("doc_id is not null").select("doc_id", "id").distinct()
+    smallest = known.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b").select("doc_id", "a")
+    twins = stages(known.join(smallest, "doc_id").filter("id <> a").select("a", F.col("id").alias("b")), "twins")
     links = twins
     for turn in range(rounds):
         labels = components(stages, links)

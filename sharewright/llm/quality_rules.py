@@ -3,7 +3,8 @@
 Sequential covering: labelled rows are split by a hash into growing and pruning rows; a rule grows by the threshold
 condition with the largest information gain, is pruned from its end on the pruning rows, and its rows are covered; the next
 rule starts from what is left. Each step is one aggregation of (statistic, bin) counts over the labelled rows, so the work
-on the driver is bounded by statistics x bins. The list is an ordered ``when`` expression.
+on the driver is bounded by statistics x bins. The list is an ordered ``when`` expression. The model is bounded, the data are
+not: at most MAX_RULES rules of MAX_CONDITIONS conditions, thresholds at the BINS-quantiles of the labelled rows.
 
 Null text counts as empty. Labels that are null or contradict each other for one document are left out. Without labels of
 both kinds the list is empty and only the base rules decide. Extra columns are ignored; repeated rows are judged alike.
@@ -38,8 +39,8 @@ def statistics(docs: DataFrame, *keep: str | Column) -> DataFrame:
     windows = F.when(F.size("words") >= WINDOW, F.transform(
         F.sequence(F.lit(0), F.size("words") - WINDOW),
         lambda i: F.struct(F.xxhash64(*[F.get("words", i + k) for k in range(WINDOW)]).alias("h"), i.alias("i"))))
-    base = base.withColumn("windows", F.array_sort(windows))
-    repeated = F.array_sort(F.transform(F.filter(
+    base = base.withColumn("windows", F.sort_array(windows))
+    repeated = F.sort_array(F.transform(F.filter(
         "windows", lambda w, k: (F.get("windows", k - 1)["h"] == w["h"]) | (F.get("windows", k + 1)["h"] == w["h"])),
         lambda w: w["i"]))
     base = base.withColumn("starts", repeated)
@@ -94,27 +95,34 @@ def _gain(pos, neg, pos0, neg0):
     return pos * (math.log2(pos / (pos + neg)) - math.log2(pos0 / (pos0 + neg0)))
 
 
-def learn_rules(labelled: DataFrame) -> list[list[Condition]]:
-    """Ordered conjunctions that reject; ``labelled`` holds the counts and a column ``bad`` (0 or 1)."""
+def learn_rules(labelled: DataFrame, stages: Stages) -> list[list[Condition]]:
+    """Ordered conjunctions that reject; ``labelled`` holds the counts and a column ``bad`` (0 or 1).
+
+    Every measure is staged as its bin number, a small integer, and what a rule leaves is staged again, so that the plan of a step
+    does not grow with the rules before it.
+    """
     names = list(measures())
-    grow_rows = F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) != 0
     cuts = labelled.select([F.percentile_approx(c, [i / BINS for i in range(1, BINS)], 10000).alias(n)
                             for n, c in measures().items()]).first()
     edges = {n: sorted(set(cuts[n] or [])) for n in names}
-    def bin_of(name, value):
-        at = F.lit(0)
-        for edge in edges[name]:
-            at = at + (value > F.lit(float(edge))).cast("int")
-        return at
 
-    bins = labelled.select("*", F.array(*[
-        F.struct(F.lit(name).alias("m"), bin_of(name, value).alias("b")) for name, value in measures().items()]).alias("bins"))
+    def bin_of(name: str, value: Column) -> Column:
+        """Edges below the value: value <= edges[b] says the same as bin <= b."""
+        return F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges[name]]), lambda e: value > e)).cast("byte")
+
+    rows = stages(labelled.select(
+        "bad", (F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) != 0).alias("grow"),
+        *[bin_of(n, c).alias(n) for n, c in measures().items()]), "bins")
+
+    def fits(rule: list[Condition]) -> Column:
+        tests = [(F.col(n) <= edges[n].index(t)) if side == "<=" else (F.col(n) > edges[n].index(t)) for n, side, t in rule]
+        return reduce(lambda a, b: a & b, tests, F.lit(True))
 
-    def best(rule, rest):
-        rows = bins.filter(rest & grow_rows & conjunction(rule)).select("bad", F.explode("bins").alias("x"))
+    def best(rule: list[Condition]):
+        kept = rows.filter(F.col("grow") & fits(rule)).select("bad", F.posexplode(F.array(*names)).alias("m", "b"))
         table = {n: {} for n in names}
-        for m, b, bad, n in rows.groupBy("x.m", "x.b").agg(F.sum("bad"), F.count(F.lit(1))).collect():
-            table[m][b] = (bad, n - bad)
+        for m, b, bad, n in kept.groupBy("m", "b").agg(F.sum("bad"), F.count(F.lit(1))).collect():     # measures x bins
+            table[names[m]][b] = (bad, n - bad)
         total = [sum(v[k] for v in table[names[0]].values()) for k in (0, 1)]
         options = []
         for n in names:
@@ -124,14 +132,13 @@ def learn_rules(labelled: DataFrame) -> list[list[Condition]]:
                 high = [total[k] - low[k] for k in (0, 1)]
                 for side, (p, q) in (("<=", low), (">", high)):
                     options.append((_gain(p, q, *total) if total[0] else 0.0, n, side, float(edge), p, q))
-        return total, max(options, default=None)
+        return max(options, default=None)
 
     rules: list[list[Condition]] = []
-    rest = F.lit(True)
     while len(rules) < MAX_RULES:
         rule, good = [], False
         while len(rule) < MAX_CONDITIONS:
-            total, found = best(rule, rest)
+            found = best(rule)
             if found is None or found[0] <= 1e-9:
                 break
             rule.append(Condition(found[1:4]))
@@ -140,8 +147,8 @@ def learn_rules(labelled: DataFrame) -> list[list[Condition]]:
         if rule:
             # prune from the end: the shortest prefix with the best (right - wrong) / covered on the pruning rows
             prefixes = [rule[:k] for k in range(1, len(rule) + 1)]
-            got = labelled.filter(rest & ~grow_rows).select(
-                [F.coalesce(F.sum(F.when(conjunction(r), w)), F.lit(0)) for r in prefixes
+            got = rows.filter(~F.col("grow")).select(
+                [F.coalesce(F.sum(F.when(fits(r), w)), F.lit(0)) for r in prefixes
                  for w in (F.col("bad"), 1 - F.col("bad"))]).first()
             scored = [((got[2 * k] + 1) / (got[2 * k] + got[2 * k + 1] + 2), -k) for k in range(len(prefixes))]
             k = -max(scored)[1]
@@ -150,7 +157,9 @@ def learn_rules(labelled: DataFrame) -> list[list[Condition]]:
         if not good:
             break
         rules.append(rule)
-        rest = rest & ~conjunction(rule)
+        left = stages(rows.filter(~fits(rule)), "uncovered")
+        stages.drop(rows)
+        rows = left
     return rules
 
 
@@ -171,6 +180,6 @@ def judge(docs: DataFrame, labels: DataFrame, *keep: str | Column) -> DataFrame:
     counts = stages(statistics(docs, *keep), "counts")
     labelled = stages(counts.select("doc_id", "base_failed", *COUNTS).join(clear, "doc_id").filter("not base_failed"), "labelled")
     kinds = labelled.agg(F.min("bad"), F.max("bad")).first()
-    rules = learn_rules(labelled) if tuple(kinds) == (0, 1) else []
+    rules = learn_rules(labelled, stages) if tuple(kinds) == (0, 1) else []
     judged = counts.withColumn("rule", verdict(rules))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
