@@ -1,25 +1,31 @@
 """Near duplicates by an exact n-gram Jaccard join with pivots.
 
 Documents with equal shingle sets are one class. A rare-first prefix of every set leads documents that can be linked to a
-common bucket; of buckets with the same members one stays. In a bucket, pivots stand for regions: every member is compared with the bucket's pivots (Jaccard distance
-is a metric), members within the radius are linked to the pivot, and the distances bound all others by the triangle
-inequality: members whose distances to a pivot differ by more than the radius cannot be linked. Classes already connected
-need no more comparing; buckets still holding several components get new pivots, and what the windows leave of them is
-compared exactly. Sizes and parity sketches rule out most unlike pairs before their sets are read. Components are the same as those of all links.
+common bucket; of buckets with the same members one stays. In a bucket, pivots stand for regions: every member is compared
+with the bucket's pivot (Jaccard distance is a metric), members within the radius are linked to it, and the distances bound
+all others by the triangle inequality: members whose distances to a pivot differ by more than the radius cannot be linked.
+Classes already connected need no more comparing; buckets still holding several components get new pivots, and what the
+windows leave of them is compared exactly. Sizes and parity sketches rule out most unlike pairs before their sets are read.
+Components are the same as those of all links.
 
 The order of shingles (by the count of their cell in a table of fixed size, then by value) serves the choice of rare ones
-only: any order gives the same links. Shingles and sets are told by 64-bit digests.
+only: any order gives the same links. Shingles are told by 64-bit digests, whole sets by 128 bits and their size. Whole sets are
+made again from the texts of documents that share a bucket, so that sets of all others are never written.
 
-Null or wordless text: no shingles, linked with nothing. Repeated doc_ids: rows of one doc_id share a component. Null
-doc_ids: linked like others, component_id is the smallest id that is not null (null if there is none).
+Null or wordless text: no shingles, linked with nothing. Repeated doc_ids: all rows of one doc_id share a component. Null
+doc_ids: linked like others, component_id is the smallest id that is not null (null if there is none). Extra columns are
+ignored; an empty table gives an empty result.
 """
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sharewright.llm.substring_doubling import _chunks, _doubled, _fresh, _Words
 from sharewright.session import Stages
 
 SHINGLE, PERCENT = 5, 80
@@ -29,14 +35,68 @@ SKETCH_BITS = 1024
 PIVOT_ROUNDS, CHEAP = 6, 8
 
 
-def shingle_sets(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """doc_id, shingles: sorted distinct digests of the n-word windows of a text."""
-    lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = docs.select("doc_id", F.filter(F.split(lowered, r"[\x20\x09-\x0D]+", -1), lambda w: w != "").alias("w"))
-    windows = F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.xxhash64(
-        *[F.get("w", i + k) for k in range(n)]))).when(
-        F.size("w") > 0, F.array(F.xxhash64(F.array_join("w", " "), F.size("w")))).otherwise(F.array().cast("array<bigint>"))
-    return words.select("doc_id", F.sort_array(F.array_distinct(windows)).alias("shingles"))
+class _Sets:
+    """The shingle sets of several documents: distinct digests sorted within each document, one after the other."""
+
+    def __init__(self, documents: list[list[bytes]], known: _Words, n: int):
+        digests, owner = _windows(documents, known, n)
+        order = np.lexsort((digests, owner))
+        digests, owner = digests[order], owner[order]
+        first = np.concatenate(([True], (digests[1:] != digests[:-1]) | (owner[1:] != owner[:-1]))) if len(owner) else owner == 1
+        self.values, self.owner = digests[first], owner[first]
+        self.sizes = np.bincount(self.owner, minlength=len(documents))
+
+    def marks(self) -> list[np.ndarray]:
+        """Two 64-bit digests of each whole set, whatever its order."""
+        out = []
+        for lane, odd in enumerate((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)):
+            x = (self.values ^ (self.values >> np.uint64(31 - lane))) * np.uint64(odd)
+            x ^= x >> np.uint64(29 + lane)
+            total = np.concatenate(([np.uint64(0)], np.cumsum(x * np.uint64(odd), dtype=np.uint64)))
+            ends = np.concatenate(([0], np.cumsum(self.sizes)))
+            out.append(total[ends[1:]] - total[ends[:-1]])
+        return out
+
+    def prefixes(self, times: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rarest shingles of each set, one of which any two linked sets share, and how many of them each set has."""
+        keep = np.where(self.sizes > 0, self.sizes - -(-self.sizes * percent // 100) + 1, 0)
+        order = np.lexsort((self.values, times[(self.values % np.uint64(CELLS)).astype(np.int64)], self.owner))
+        start = np.cumsum(self.sizes) - self.sizes
+        place = np.arange(len(self.values)) - start[self.owner]
+        return self.values[order[place < keep[self.owner]]], keep
+
+
+def _windows(documents: list[list[bytes]], known: _Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Digest and document of every window of n words; of a shorter text the whole sequence is the only one."""
+    sizes = np.array([len(d) for d in documents], dtype=np.int64)
+    numbers = np.fromiter(map(known.__getitem__, (w for d in documents for w in d)), np.int64, int(sizes.sum()))
+    codes = np.frombuffer(bytes(known.codes), dtype=np.uint64).reshape(-1, 2)[:, 0]
+    count = np.maximum(sizes - n + 1, 0)
+    owner = np.repeat(np.arange(len(sizes)), count)
+    starts = np.cumsum(sizes) - sizes
+    at = starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    digests = _doubled(codes[numbers], n, 0)[at] if len(at) else np.zeros(0, dtype=np.uint64)
+    short = [i for i, d in enumerate(documents) if 0 < len(d) < n]
+    if short:
+        whole = [int.from_bytes(hashlib.blake2b(b" ".join(documents[i]), digest_size=8, salt=b"whole").digest(), "little") for i in short]
+        digests = np.concatenate((digests, np.array(whole, dtype=np.uint64)))
+        owner = np.concatenate((owner, np.array(short, dtype=owner.dtype)))
+    return digests, owner
+
+
+def _words_of(column: pa.Array):
+    """Chunks of (row, lower-cased words) of a text column."""
+    yield from _chunks(enumerate(_Lower(t) for t in column.cast(pa.binary())))
+
+
+class _Lower:
+    """A text whose A-Z are lower-cased when it is read."""
+
+    def __init__(self, text: pa.Scalar):
+        self.text = text
+
+    def as_py(self) -> bytes:
+        return (self.text.as_py() or b"").lower()       # of bytes: A-Z only
 
 
 def components(stages: Stages, links: DataFrame) -> DataFrame:
@@ -69,38 +129,57 @@ def _distances(sets: DataFrame, pairs: DataFrame) -> DataFrame:
         "distance", 1 - F.col("shared") / F.col("whole"))
 
 
-def _cell_counts(rows: DataFrame) -> np.ndarray:
-    """Shingles of all rows in each cell: at most CELLS rows from a task, and CELLS rows at the driver."""
+def _cell_counts(docs: DataFrame, n: int) -> np.ndarray:
+    """Windows of all texts in each cell: at most CELLS rows from a task, and CELLS rows at the driver."""
     def count(batches):
-        total = np.zeros(CELLS, dtype=np.int64)
+        total, known = np.zeros(CELLS, dtype=np.int64), _Words()
         for batch in batches:
-            values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            total += np.bincount(values % CELLS, minlength=CELLS)
+            for part in _words_of(batch.column(0)):
+                known = _fresh(known)
+                digests, _ = _windows([w for _, w in part], known, n)
+                total += np.bincount((digests % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
     times = np.zeros(CELLS, dtype=np.int64)
-    for cell, n in rows.select("shingles").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
-        times[cell] = n
+    for cell, seen in docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
+        times[cell] = seen
     return times
 
 
-def _prefixes(sets: DataFrame, times: np.ndarray, percent: int) -> DataFrame:
-    """bucket, id, n: the rarest shingles of each set, one of which any two linked sets share."""
-    def cut(batches):
+def _scan(docs: DataFrame, times: np.ndarray, n: int, percent: int) -> DataFrame:
+    """k, h (of the text), n, m1, m2 (of the set), prefix: one row a text."""
+    def scan(batches):
+        known = _Words()
         for batch in batches:
-            ids, column = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
-            values = column.flatten().to_numpy(zero_copy_only=False)
-            sizes = np.diff(column.offsets.to_numpy())
-            keep = sizes - -(-sizes * percent // 100) + 1
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.lexsort((values, times[values % CELLS], owner))
-            place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            order = order[place < np.repeat(keep, sizes)]
-            yield pa.RecordBatch.from_arrays([pa.array(values[order]), pa.array(ids[owner[order]]),
-                                              pa.array(sizes[owner[order]], pa.int32())], ["bucket", "id", "n"])
+            for part in _words_of(batch.column(2)):
+                known = _fresh(known)
+                sets = _Sets([w for _, w in part], known, n)
+                rows = pa.array([r for r, _ in part])
+                prefix, keep = sets.prefixes(times, percent)
+                ends = pa.array(np.concatenate(([0], np.cumsum(keep))).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(sets.sizes.astype(np.int64)),
+                     *[pa.array(m.view(np.int64)) for m in sets.marks()],
+                     pa.ListArray.from_arrays(ends, pa.array(prefix.view(np.int64)))], ["k", "h", "n", "m1", "m2", "prefix"])
+
+    return docs.select("k", "h", "text").mapInArrow(scan, "k long, h long, n long, m1 long, m2 long, prefix array<long>")
+
+
+def _sets(texts: DataFrame, n: int) -> DataFrame:
+    """id, n, shingles (sorted) of texts (id, text)."""
+    def scan(batches):
+        known = _Words()
+        for batch in batches:
+            for part in _words_of(batch.column(1)):
+                known = _fresh(known)
+                sets = _Sets([w for _, w in part], known, n)
+                ends = pa.array(np.concatenate(([0], np.cumsum(sets.sizes))).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array([r for r, _ in part])), pa.array(sets.sizes.astype(np.int64)),
+                     pa.ListArray.from_arrays(ends, pa.array(sets.values.view(np.int64)))], ["id", "n", "shingles"])
 
-    return sets.select("id", "shingles").mapInArrow(cut, "bucket long, id long, n int")
+    return texts.select("id", "text").mapInArrow(scan, "id long, n long, shingles array<long>")
 
 
 def _sketches(sets: DataFrame) -> DataFrame:
@@ -164,18 +243,27 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     spark = docs.sparkSession
     stages = Stages(spark, "jaccard")
     radius = 1 - percent / 100 + 1e-9
-    rows = stages(shingle_sets(docs, n).select(
-        "doc_id", "shingles", F.size("shingles").cast("long").alias("n"), F.xxhash64("shingles").alias("id"),
-        F.monotonically_increasing_id().alias("rid")), "rows")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("k"), F.xxhash64("text").alias("h"), "text")
+    scanned = stages(_scan(texts, _cell_counts(texts, n), n, percent).withColumn("rid", F.monotonically_increasing_id()), "scanned")
+    # documents of equal sets are one class, named by its first row
+    classes = scanned.filter("n > 0").groupBy("m1", "m2", "n").agg(F.min("rid").alias("id"))
+    rows = stages(scanned.select("k", "h", "n", "m1", "m2", "rid").join(classes, ["m1", "m2", "n"], "left").select(
+        F.when(F.col("k") != -2**63, F.col("k")).alias("doc_id"), "k", "h", "n", "rid", "id"), "rows")
     full = rows.filter("n > 0")
-    chosen = stages(full.groupBy("id").agg(F.min("rid").alias("rid")).select("rid"), "chosen")
-    sets = full.join(chosen, "rid", "left_semi").select("id", "n", "shingles")
-    members = stages(_prefixes(sets, _cell_counts(rows), percent), "prefixes")
+    one = full.filter("rid = id").select("rid")
+    chosen = stages(scanned.join(one, "rid", "left_semi").select("rid", "n", "prefix"), "prefixes")
+    stages.drop(scanned)
+    entries = chosen.select(F.explode("prefix").alias("bucket"), F.col("rid").alias("id"), F.col("n").cast("int").alias("n"))
     # a set has a shingle once, so a bucket counted twice holds two classes; the count packs better than two ids
-    shared = stages(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket"), "shared")
-    members = stages(_unlike_buckets(stages(members.join(shared, "bucket"), "shared-members")), "members")
-    # only classes that share a bucket are ever compared
-    sets = stages(sets.join(members.select("id").distinct(), "id", "left_semi"), "sets")
+    shared = stages(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket"), "shared")
+    met = stages(entries.join(shared, "bucket"), "shared-members")
+    stages.drop(chosen, shared)
+    members = stages(_unlike_buckets(met), "members")
+    stages.drop(met)
+    # only classes that share a bucket are ever compared; texts are shuffled once, here
+    wanted = full.filter("rid = id").join(members.select("id").distinct(), "id", "left_semi").select("k", "h", "id")
+    wanted = stages(wanted.groupBy("k", "h").agg(F.min("id").alias("id")), "wanted")
+    sets = stages(_sets(texts.join(wanted, ["k", "h"]).dropDuplicates(["k", "h"]), n), "sets")
     sketches = stages(_sketches(sets), "sketches")
     links, labels, windows = None, None, []
     # all sets of a doc_id, however many its rows have, belong to that of its smallest one
@@ -195,14 +283,16 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
             "bucket", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"))
         placed = stages(members.join(pivots, "bucket"), "placed")
         pairs = placed.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-        far = stages(_distances(sets, stages(_possible(sketches, pairs, percent), "pairs")), "distances")
+        near = stages(_possible(sketches, pairs, percent), "pairs")
+        far = stages(_distances(sets, near), "distances")
         links = stages(links.union(far.filter(F.col("shared") * 100 >= F.col("whole") * percent).select("a", "b")), "links")
         window = f"w{turn}"
         windows.append(window)
         # the pivot has been compared with the whole bucket and leaves it
-        members = stages(placed.filter("id <> pivot").join(far.select(
+        opened, members = members, stages(placed.filter("id <> pivot").join(far.select(
             F.col("a").alias("id"), F.col("b").alias("pivot"), F.col("distance").alias(window)), ["id", "pivot"], "left").select(
             "bucket", "id", "n", *windows), "windows")
+        stages.drop(opened, placed, near, far)
     else:
         members = _label(members, components(stages, links))
         members = stages(members.join(_open_buckets(members), "bucket"), "rest")

@@ -8,7 +8,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from sharewright.llm import fuse_dedup, merkle_manifest, periodic_runs, queries, substring_doubling
+from sharewright.llm import fuse_dedup, jaccard_pivots, merkle_manifest, periodic_runs, queries, substring_doubling
 
 RNG = random.Random(11)
 ODD = [(1, None), (2, ""), (None, "null id here"), (3, " \n\t\x0b "), (4, "one"), (5, "É ß 😀 x\x00y z   a"),
@@ -172,3 +172,55 @@ def test_run_query_equals_brute_force(spark, make_docs, monkeypatch):
     empty = make_docs([])
     monkeypatch.setattr(queries, "table", lambda *_: empty)
     assert queries.runs(spark, "").collect() == []
+
+
+def brute_components(docs):
+    sets = []
+    for _, t in docs:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    parent = list(range(len(docs)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x in range(len(docs)):
+        for y in range(x):
+            same = docs[x][0] is not None and docs[x][0] == docs[y][0]
+            linked = 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])
+            if sets[x] and sets[y] and (same or linked):
+                parent[root(x)] = root(y)
+    groups = {}
+    for x, (i, _) in enumerate(docs):
+        groups.setdefault(root(x), []).append(i)
+    out = []
+    for x, (i, _) in enumerate(docs):
+        ids = [j for j in groups[root(x)] if j is not None]
+        out.append((i, len(sets[x]), (min(ids) if ids else None) if sets[x] else i))
+    return sorted(out, key=str)
+
+
+def test_all_sets_of_a_doc_id_share_a_component(make_docs):
+    a, b, c = (" ".join(words(20, 10_000)) for _ in range(3))
+    docs = [(5, a), (5, b), (5, c), (1, a), (2, b), (3, c)]
+    got = jaccard_pivots.near_duplicates(make_docs(docs)).collect()
+    assert sorted(map(tuple, got), key=str) == [(1, 16, 1), (2, 16, 1), (3, 16, 1), (5, 16, 1), (5, 16, 1), (5, 16, 1)]
+
+
+def test_jaccard_rounds_with_several_pivots_equal_brute_force(make_docs):
+    # families around one shared passage fill a few buckets, so that pivots, windows and the exact rest all have work
+    passage = words(40, 50)
+    docs = list(ODD)
+    for family in range(12):
+        base = passage + words(60, 400)
+        for k in range(12):
+            w = list(base)
+            for _ in range(k // 2):
+                w[RNG.randrange(100)] = RNG.choice(words(1, 400))
+            docs.append((100 * family + k, " ".join(w).upper() if k % 5 == 0 else "\n".join(w)))
+    for rounds in (1, 6):
+        got = jaccard_pivots.near_duplicates(make_docs(docs).repartition(5), rounds=rounds).collect()
+        assert sorted(map(tuple, got), key=str) == brute_components(docs)
+    assert jaccard_pivots.near_duplicates(make_docs([])).collect() == []
