@@ -3,7 +3,8 @@
 The snapshot keeps one row per digest, in buckets by digest. Each bucket has a static binary-fuse filter (three slots per
 key, 16-bit fingerprints). Digests of a new batch are grouped first (duplicates inside the batch); each distinct digest is
 screened by the filter of its bucket, in the task that owns the bucket; positives join the exact bucket by digest and their
-texts are compared byte by byte. The number of buckets grows with the snapshot, so that a filter stays small.
+texts are compared byte by byte. The number of buckets grows with the larger of snapshot and batch, so that filters and
+the digests screened by one of them stay bounded.
 
 Texts are equal after lower-casing A-Z. Null text counts as empty; a null doc_id is never preferred; repeated rows are
 members of one group; extra columns are ignored; empty tables give an empty result.
@@ -136,18 +137,24 @@ def dedup_against_snapshot(documents: DataFrame, is_new: Column, keys_per_bucket
     stages = Stages(documents.sparkSession, "fuse-dedup")
     rows = stages(documents.select("doc_id", F.sha2(normal("text"), 256).alias("text_sha256"),
                                    F.coalesce(is_new, F.lit(True)).alias("is_new")), "digests")
-    n_buckets = max(1, math.ceil(rows.filter("not is_new").count() / keys_per_bucket))
+    # the larger of snapshot and batch decides, so that neither meets the other in a few buckets
+    sizes = rows.groupBy("is_new").count().agg(F.max("count")).first()[0] or 0
+    n_buckets = max(1, math.ceil(sizes / keys_per_bucket))
     old = stages(_groups(rows.filter("not is_new"), n_buckets), "snapshot")
     new = stages(_groups(rows.filter("is_new"), n_buckets), "batch")
     positives = stages(screen(new, stages(build_filters(old), "filters")), "positives")
     pairs = stages(positives.join(new.select("text_sha256", F.col("last_id").alias("new_id"), F.col("n").alias("new_n")),
                                   "text_sha256").join(
         old.select("text_sha256", F.col("last_id").alias("old_id"), F.col("n").alias("old_n")), "text_sha256"), "candidates")
-    texts = documents.select("doc_id", normal("text").alias("body"))
+    # texts go through the network once, and only those of positives are written; a join of the same kind at every size
+    ids = pairs.select(F.col("new_id").alias("doc_id")).union(pairs.select("old_id")).filter("doc_id is not null").distinct()
+    texts = documents.select("doc_id", normal("text").alias("body")).join(ids.hint("merge"), "doc_id")
+    bodies = stages(texts.select("doc_id", F.sha2("body", 256).alias("text_sha256"), F.encode("body", "UTF-8").alias("body"))
+                    .dropDuplicates(["doc_id", "text_sha256"]), "bodies")
     # byte check of the two representatives of a digest; null ids hold no text of their own and are told by digest
-    checked = pairs.join(texts.select(F.col("doc_id").alias("new_id"), F.col("body").alias("new_body")), "new_id").join(
-        texts.select(F.col("doc_id").alias("old_id"), F.col("body").alias("old_body")), "old_id").filter(
-        (F.encode("new_body", "UTF-8") == F.encode("old_body", "UTF-8"))).select("text_sha256").union(
+    sides = [bodies.select("text_sha256", F.col("doc_id").alias(f"{s}_id"), F.col("body").alias(f"{s}_body")) for s in ("new", "old")]
+    checked = pairs.join(sides[0].hint("merge"), ["text_sha256", "new_id"]).join(
+        sides[1].hint("merge"), ["text_sha256", "old_id"]).filter("new_body = old_body").select("text_sha256").union(
         pairs.filter("new_id is null or old_id is null").select("text_sha256")).distinct()
     same = pairs.join(checked, "text_sha256", "left_semi").select(
         "text_sha256", F.expr("greatest(old_id, new_id)").alias("both_id"), (F.col("old_n") + F.col("new_n")).alias("both_n"))
