@@ -34,7 +34,7 @@ def covered_lines(docs: DataFrame) -> DataFrame:
     places = stages(places, "windows")
     repeated = stages(places.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_k", "_h", "i")).alias("first"))
                       .filter("n > 1").select("w", "first"), "repeated")
-    later = places.join(repeated, "w").filter(F.struct("_k", "_h", "i") > F.col("first"))
+    later = places.join(repeated.hint("merge"), "w").filter(F.struct("_k", "_h", "i") > F.col("first"))
     return later.groupBy("_k", "_h").agg(F.collect_set("i").alias("starts")).select(
         "_k", "_h", F.array_distinct(F.flatten(F.transform(
             "starts", lambda i: F.array(*[i + k for k in range(WINDOW)])))).alias("gone"))
@@ -43,7 +43,8 @@ def covered_lines(docs: DataFrame) -> DataFrame:
 def drop_repeated_windows(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with the text reduced, and n_lines, n_removed (long)."""
     gone = Stages(docs.sparkSession, "line-dedup")(covered_lines(docs), "gone")
-    joined = _keyed(docs).join(gone, ["_k", "_h"], "left")
+    # texts are shuffled once, and by the same kind of join at every size
+    joined = _keyed(docs).join(gone.hint("merge"), ["_k", "_h"], "left")
     lines = joined.withColumn("_lines", F.split("text", "\n", -1))
     # the runs of lines between removed ones; time is linear in the lines
     stops = F.array_sort(F.concat(F.array(F.lit(-1)), "gone", F.array(F.size("_lines"))))
