@@ -8,7 +8,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from sharewright.llm import fuse_dedup, jaccard_pivots, merkle_manifest, periodic_runs, queries, substring_doubling
+from sharewright.llm import (fuse_dedup, jaccard_pivots, merkle_manifest, periodic_runs, queries, range_shards,
+                             substring_doubling)
 
 RNG = random.Random(11)
 ODD = [(1, None), (2, ""), (None, "null id here"), (3, " \n\t\x0b "), (4, "one"), (5, "É ß 😀 x\x00y z   a"),
@@ -224,3 +225,18 @@ def test_jaccard_rounds_with_several_pivots_equal_brute_force(make_docs):
         got = jaccard_pivots.near_duplicates(make_docs(docs).repartition(5), rounds=rounds).collect()
         assert sorted(map(tuple, got), key=str) == brute_components(docs)
     assert jaccard_pivots.near_duplicates(make_docs([])).collect() == []
+
+
+def test_small_groups_of_equal_texts_stay_in_one_shard(make_docs):
+    texts = [(i, f"text {i % 2000} " + "x " * (i % 2000 % 90)) for i in range(6000)] + [(9000 + i, "huge group") for i in range(3000)]
+    got = range_shards.shard_by_bytes(make_docs(texts), rows_per_range=700, sample=300).collect()
+    where, sizes, slots = {}, {}, {}
+    text = dict(texts)
+    for r in got:
+        where.setdefault(text[r.doc_id], set()).add(r.shard)
+        sizes[r.shard] = sizes.get(r.shard, 0) + r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == len(texts) and set(sizes) == set(range(16))
+    assert all(len(s) == 1 for t, s in where.items() if t != "huge group")
+    assert max(sizes.values()) - min(sizes.values()) <= sum(sizes.values()) / 16 / range_shards.GROUP_SHARE * 2 + 400
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
