@@ -2,7 +2,7 @@
 
 All cuts are computed together with GROUPING SETS. The fact is first reduced to one row per week, store and brand
 (map-side combined), so the expansion to the cuts and the distinct store count work on that reduction and one cell may
-hold any share of the fact.
+hold any share of the fact. Stores are counted by marks set before the expansion, so no store id goes through it.
 """
 from __future__ import annotations
 
@@ -83,14 +83,44 @@ def _decimal(column: str, digits: int) -> Column:
     return (F.col(column) * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(28,{digits})")
 
 
+def _mark(i: int) -> str:
+    return f"_new_{i}"
+
+
+def mark_stores(reduced: DataFrame, keys: Sequence[str], cuts: Cuts) -> DataFrame:
+    """Reduced rows without the store, with one 0/1 column per cut whose sum is the exact number of distinct stores.
+
+    Of the rows that a store has in a week and brand (one, or a few where a sale's attributes differ) the first in each value of
+    a cut carries the mark of that cut. Sums combine on the map side, which a distinct count cannot.
+    """
+    rest = [c for c in reduced.columns if c not in keys and c != "store_id"]
+    rows = reduced.groupBy(*keys, "store_id").agg(F.collect_list(F.struct(*rest)).alias("_rows_of_store"))
+    known = F.col("store_id").isNotNull()
+
+    def marked(row: Column, at: Column) -> Column:
+        earlier = F.slice("_rows_of_store", F.lit(1), at)
+        marks = [known & ~F.exists(earlier, lambda e: reduce(
+            lambda a, b: a & b, [e[c].eqNullSafe(row[c]) for c in cut], F.lit(True))) for cut in cuts.values()]
+        return F.struct(*[row[c].alias(c) for c in rest], *[m.cast("long").alias(_mark(i)) for i, m in enumerate(marks)])
+
+    return rows.select(*keys, F.inline(F.transform("_rows_of_store", marked)))
+
+
+def stores_of_level(cuts: Cuts) -> Column:
+    """The summed mark of a row's own cut."""
+    return F.coalesce(*[F.when(F.col("level") == name, F.col(_mark(i))) for i, name in enumerate(cuts)])
+
+
 def brand_cells(reduced: DataFrame, cuts: Cuts) -> DataFrame:
     """Numerators, denominators, shares and rank per week x category x brand at every cut."""
     keys = ["year_week", "category", "brand", "manufacturer", "is_own_product"]
     whole = reduced.select(*keys, "store_id", *cut_columns(cuts), _units("_value", 2), _units("_volume", 3), "_units",
                            _units("_alert", 2))
-    g = over_cuts(whole, keys, cuts, [
+    marks = [_mark(i) for i in range(len(cuts))]
+    g = over_cuts(mark_stores(whole, keys, cuts), keys, cuts, [
         F.sum("_value").alias("_value"), F.sum("_volume").alias("_volume"), F.sum("_units").alias("brand_units"),
-        F.sum("_alert").alias("_alert"), F.countDistinct("store_id").alias("brand_stores")])
+        F.sum("_alert").alias("_alert"), *[F.sum(m).alias(m) for m in marks]])
+    g = g.withColumn("brand_stores", stores_of_level(cuts)).drop(*marks)
     # one row per brand here: a cell is bounded by the number of brands, not by sales
     cell = Window.partitionBy("year_week", "category", "level", *cut_columns(cuts))
     g = g.withColumns({
