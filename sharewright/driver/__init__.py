@@ -1,5 +1,5 @@
 """Queries registered over the benchmark tables, each next to its DuckDB twin."""
-from . import (accounts, audits, calendars, catalogues, coverages, facts, ingest, runs, series,  # noqa: F401
+from . import (accounts, audits, calendars, catalogues, coverages, dimensions, facts, ingest, runs, series,  # noqa: F401
                shares)
 from .registry import ORACLES, QUERIES
 
