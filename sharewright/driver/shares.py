@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..catalogue import default_catalogue
 from ..functions import iso_label
 from ..operators.rules import rule_log
-from ..operators.share import (HIGH_QUARANTINE, LOW_COVERAGE, NO_SALE, OFFICIAL, OPEN_WEEK, brand_cells, cell_coverage,
+from ..operators.share import (HIGH_QUARANTINE, LOW_COVERAGE, NO_SALE, OFFICIAL, OPEN_WEEK, SHARE_COLUMNS, brand_cells, cell_coverage,
                                cell_rows, gate_counts, market_share, per_store)
 from ..plans.evidence import fact_sample, own_share_series, retained_value, status_mix
 from ..plans.views import official_shares, own_share
@@ -115,6 +115,8 @@ def _cents(column):
     return (F.col(column) * 100).cast("bigint")
 
 
+# what the gates see of the fact; one of the columns is declared forbidden there
+_FACT_COLUMNS = ("year_week", "store_id", "category", "brand", "channel", "sales_value_brl", "dq_status")
 _MONEY = ("brand_value_brl", "category_value_brl", "brand_volume_kg", "category_volume_kg")
 
 
@@ -174,14 +176,14 @@ SELECT 'GLD_001' AS regra_id, (SELECT count(*) FROM lines) AS avaliados, CAST(0
 UNION ALL SELECT 'GLD_002', (SELECT count(*) FROM fact), 0, 'APROVADO'
 UNION ALL SELECT 'GLD_003', count(*), count_if(abs(s - 1) > 1e-4), CASE WHEN count_if(abs(s - 1) > 1e-4) = 0 THEN 'APROVADO' ELSE 'REJEITADO' END
   FROM (SELECT sum(ms_value) AS s FROM ms WHERE ms_value IS NOT NULL GROUP BY level, level_value, year_week, category)
-UNION ALL SELECT 'GLD_004', count(*), count_if(ms_status NOT IN ('OFICIAL', 'SEM_VENDA_NA_CATEGORIA')), 'APROVADO_COM_ALERTA' FROM ms""")
+UNION ALL SELECT 'GLD_004', count(*), count_if(ms_status NOT IN ('OFICIAL', 'SEM_VENDA_NA_CATEGORIA')), 'APROVADO_COM_ALERTA' FROM ms
+UNION ALL SELECT 'GLD_005', count(*), count_if(c = 'channel'), 'REJEITADO' FROM (SELECT DISTINCT unnest({sorted({*_FACT_COLUMNS, *SHARE_COLUMNS})}) AS c)""")
 def publication_gates(spark, sf_dir):
-    """G8 (GLD_001-004): conservation of rows and value, sum of shares, official cells."""
+    """G8 (GLD_001-005), P13: conservation of rows and value, sum of shares, official cells, a column that must not be published."""
     ms, fact, removed = _shares(spark, sf_dir, Stages(spark, "gates"))
     lines = fact.select("store_id").union(removed.select("store_id"))
-    gates = gate_counts(spark, lines, fact, removed, fact, ms, 1e-4, ("contact_name",))
-    log = rule_log(gates, default_catalogue(), "run")
-    return log.where(F.col("regra_id") != "GLD_005").select("regra_id", "avaliados", "falhas", "resultado")
+    gates = gate_counts(spark, lines, fact, removed, fact.select(*_FACT_COLUMNS), ms, 1e-4, ("contact_name", "channel"))
+    return rule_log(gates, default_catalogue(), "run").select("regra_id", "avaliados", "falhas", "resultado")
 
 
 @query(f"""WITH {_SHARES}

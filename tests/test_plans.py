@@ -2,6 +2,7 @@
 import datetime as dt
 from dataclasses import replace
 from functools import reduce
+from types import SimpleNamespace
 
 import pytest
 from rule_counts import failures
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sharewright.operators.anomaly import price_band, series_anomaly
 from sharewright.operators.conform import SchemaError, bad_types, harmonise, schema_records, typed
 from sharewright.operators.history import asof, close_overlaps, residual_overlaps, successors
+from sharewright.plans import execution
 from sharewright.plans.calendars import conform_calendar
 from sharewright.plans.coverages import conform_coverage
 from sharewright.plans.products import conform_products
@@ -17,9 +19,12 @@ from sharewright.plans.sales import conform_sales, published
 from sharewright.plans.stores import conform_stores
 from sharewright.plans.territories import conform_territories
 from sharewright.plans.views import quarantine_queue, store_queue
-from sharewright.session import Stages
+from sharewright.session import Stages, path_exists
 from sharewright.settings import PriceBand, SeriesLimits, Settings
 from sharewright.sources.ingest import with_lineage
+from sharewright.sources.ingest import ReconciliationError
+from sharewright.sources.sinks import PublicationBlocked
+from sharewright.sources.versions import VersionStore
 
 D = dt.date
 TEXT = "string, "
@@ -322,3 +327,35 @@ def test_typing_optional_columns(spark):
     out = df.select(bad_types(types, optional=["b"]).alias("bad"), *[c.alias(f"{n}_") for n, c in typed(types).items()])
     assert [r.bad for r in out.collect()] == [False, True, True, True]
     assert reduce(lambda x, y: x + y, [r.a_ or 0 for r in out.collect()]) == 3
+
+
+def test_execute_keeps_the_load_log_and_stops_when_counts_differ(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "store"))
+    raw = {"a": spark.range(3)}
+    declared = spark.createDataFrame([("a", "a.csv", 4)], "table_name string, source_file string, expected_rows long")
+    with pytest.raises(ReconciliationError):
+        execution.execute(spark, raw, declared, store.root, run_id="r1")
+    assert store.tables() == [execution.LOADS] and store.read(execution.LOADS).first().loaded_rows == 3
+
+
+def test_a_blocked_run_writes_log_and_trails_only(spark, tmp_path, monkeypatch):
+    frame = spark.range(2)
+    trail = spark.createDataFrame([("fato_vendas", "FCT_001")], "alvo string, regra_id string")
+    part = SimpleNamespace(rows=frame)
+    run = SimpleNamespace(products=part, stores=part, history=part, calendar=part, sales=part, coverage=part, chain_coverage=frame,
+                          published=frame, shares=frame, log=trail, quarantine=trail, corrections=trail.limit(0),
+                          gates=spark.createDataFrame([("GLD_001", 0)], "regra_id string, falhas long"))
+    seen = []
+    monkeypatch.setattr(execution, "run_pipeline", lambda *a: seen.append(a[2].root) or run)
+    declared = spark.createDataFrame([("a", "a.csv", 3)], "table_name string, source_file string, expected_rows long")
+    root, raw = str(tmp_path / "store"), {"a": spark.range(3)}
+    assert execution.execute(spark, raw, declared, root, run_id="good") == 2
+    run.gates = spark.createDataFrame([("GLD_001", 1)], "regra_id string, falhas long")
+    run.shares, run.quarantine = spark.range(9), trail.limit(0)
+    with pytest.raises(PublicationBlocked, match="GLD_001"):
+        execution.execute(spark, raw, declared, root, run_id="bad")
+    store = VersionStore(spark, root)
+    assert store.versions() == [1, 2, 3, 4] and store.read("gold.market_share").count() == 2
+    assert store.read(execution.LOG).count() == 2 and store.read(execution.QUARANTINE).count() == 0
+    assert store.read(execution.QUARANTINE, 2).count() == 1
+    assert len(seen) == 2 and not any(path_exists(spark, s) for s in seen)                    # stages are gone either way
