@@ -19,10 +19,11 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sharewright.llm.substring_doubling import _chunks, _doubled, _fresh, _Words
@@ -32,7 +33,7 @@ SHINGLE, PERCENT = 5, 80
 CELLS = 1 << 16
 SKETCH_BITS = 1024
 #: Rounds end when the comparisons left are below CHEAP for each member, after PIVOT_ROUNDS at the latest.
-PIVOT_ROUNDS, CHEAP = 6, 8
+PIVOT_ROUNDS, CHEAP = 8, 3
 
 
 class _Sets:
@@ -69,7 +70,7 @@ class _Sets:
 def _windows(documents: list[list[bytes]], known: _Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Digest and document of every window of n words; of a shorter text the whole sequence is the only one."""
     sizes = np.array([len(d) for d in documents], dtype=np.int64)
-    numbers = np.fromiter(map(known.__getitem__, (w for d in documents for w in d)), np.int64, int(sizes.sum()))
+    numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(documents)), np.int64, int(sizes.sum()))
     codes = np.frombuffer(bytes(known.codes), dtype=np.uint64).reshape(-1, 2)[:, 0]
     count = np.maximum(sizes - n + 1, 0)
     owner = np.repeat(np.arange(len(sizes)), count)
@@ -251,19 +252,20 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
         F.when(F.col("k") != -2**63, F.col("k")).alias("doc_id"), "k", "h", "n", "rid", "id"), "rows")
     full = rows.filter("n > 0")
     one = full.filter("rid = id").select("rid")
-    chosen = stages(scanned.join(one, "rid", "left_semi").select("rid", "n", "prefix"), "prefixes")
+    # joins that move whole sets or texts are of the same kind at every size
+    chosen = stages(scanned.join(one.hint("merge"), "rid", "left_semi").select("rid", "n", "prefix"), "prefixes")
     stages.drop(scanned)
     entries = chosen.select(F.explode("prefix").alias("bucket"), F.col("rid").alias("id"), F.col("n").cast("int").alias("n"))
     # a set has a shingle once, so a bucket counted twice holds two classes; the count packs better than two ids
     shared = stages(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket"), "shared")
-    met = stages(entries.join(shared, "bucket"), "shared-members")
+    met = stages(entries.join(shared.hint("merge"), "bucket"), "shared-members")
     stages.drop(chosen, shared)
     members = stages(_unlike_buckets(met), "members")
     stages.drop(met)
     # only classes that share a bucket are ever compared; texts are shuffled once, here
     wanted = full.filter("rid = id").join(members.select("id").distinct(), "id", "left_semi").select("k", "h", "id")
     wanted = stages(wanted.groupBy("k", "h").agg(F.min("id").alias("id")), "wanted")
-    sets = stages(_sets(texts.join(wanted, ["k", "h"]).dropDuplicates(["k", "h"]), n), "sets")
+    sets = stages(_sets(texts.join(wanted.hint("merge"), ["k", "h"]).dropDuplicates(["k", "h"]), n), "sets")
     sketches = stages(_sketches(sets), "sketches")
     links, labels, windows = None, None, []
     # all sets of a doc_id, however many its rows have, belong to that of its smallest one
@@ -299,12 +301,16 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     # of two members of unlike components one at least is outside the bucket's largest component
     counts = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
     largest = counts.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("m")).select("bucket", F.col("m.label").alias("main"))
+    # a pair that shares a bucket and the one before it, in both prefixes, has been met in the one before
+    before = Window.partitionBy("id").orderBy("bucket")           # a prefix: bounded by the shingles of one text
+    members = stages(members.withColumn("before", F.lag("bucket").over(before)), "ordered")
     x = members.alias("x")
     y = stages(members.join(largest, "bucket").filter("label <> main").drop("main"), "outside").alias("y")
     # windows of the triangle inequality; an unknown distance excludes nothing
     inside = [F.coalesce(F.abs(F.col(f"x.{w}") - F.col(f"y.{w}")) <= radius, F.lit(True)) for w in windows]
     condition = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label"))
                  & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent))
+    condition = condition & ~F.coalesce(F.col("x.before") == F.col("y.before"), F.lit(False))
     for test in inside:
         condition = condition & test
     pairs = x.join(y, condition).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
