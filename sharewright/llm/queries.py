@@ -183,7 +183,9 @@ ORACLES = {
         d AS (SELECT *, CASE WHEN contains(url, '.ads.') THEN '**.ads.**' WHEN contains(url, '/wp-login') THEN '**/wp-login**'
             WHEN contains(url, '/cgi-bin/') THEN '**/cgi-bin/**' WHEN suffix(url, '.exe') THEN '**.exe'
             WHEN suffix(url, '.zip') THEN '**.zip' WHEN url LIKE '%?%sessionid=%' THEN '**?**sessionid=**'
-            WHEN regexp_matches(url, '/tracker/[^/]*$') THEN '**/tracker/*' END AS own_rule FROM c)
+            WHEN regexp_matches(url, '/tracker/[^/]*$') THEN '**/tracker/*' ELSE (SELECT 'host:' || min(w) FROM (VALUES
+                ('ads'), ('adult'), ('bets'), ('betting'), ('casino'), ('escort'), ('pharmacy'), ('pills'), ('poker'), ('porn'), ('spam'),
+                ('viagra'), ('warez'), ('xxx')) AS v(w) WHERE regexp_matches(host, '(^|[.-])' || w || '($|[.-])')) END AS own_rule FROM c)
         SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN own_rule IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, own_rule FROM d""",
     "op7_line_dedup": """

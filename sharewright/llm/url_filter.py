@@ -2,11 +2,14 @@
 
 A rule becomes a run of bits: bit 0 is "nothing read", bit k is "k signs read"; a wildcard keeps its bit alive. The bits of
 all rules are packed into 64-bit words, and one shift, one mask and one self-loop mask per sign advance every rule.
-Globs: ``*`` any signs but ``/``, ``**`` any signs; other signs stand for themselves. Base rules see host and path only:
-their ``*`` stands inside the host and stops at ``?`` too.
-The canonical URL is ``.host/path?query``: host lower-cased (A-Z), fragment dropped.
-
-Null or URL without ``://``: host and path empty, no base rule fits, and the canonical URL is a single dot.
+Globs: ``*`` any signs but ``/``, ``**`` any signs, ``^`` one of ``. - / ?``; other signs stand for themselves. Base rules and
+host words see the host only with their ``*``: it stops at ``?`` too.
+The canonical URL is ``.host/path?query``: host lower-cased (A-Z), fragment dropped. A host word fits where it stands between
+dots, hyphens or the ends of the host.
+
+Null or URL without ``://``: host and path empty, no base rule fits, and the canonical URL is a single dot. Repeated rows are
+judged alike, extra columns are ignored, an empty table gives an empty result. URLs of any length are read to their end, one
+step a sign for all URLs of a batch together.
 """
 from __future__ import annotations
 
@@ -25,26 +28,29 @@ BASE_RULES = [
 ]
 #: Globs of the method for URLs without a base rule: they block; all else is allowed.
 OWN_RULES = ["**.ads.**", "**/wp-login**", "**/cgi-bin/**", "**.exe", "**.zip", "**?**sessionid=**", "**/tracker/*"]
+#: Words of the method that block a host which has one of them as a whole part, whatever its domain.
+HOST_WORDS = ["ads", "adult", "bets", "betting", "casino", "escort", "pharmacy", "pills", "poker", "porn", "spam", "viagra", "warez", "xxx"]
+_SEPARATORS = ".-/?"
 
 SCHEMA = "page_id string, host string, path string, rule string, verdict string, own_rule string"
 
 
 class GlobAutomaton:
-    """Multiword Shift-And over a list of globs; in the first ``n_base`` of them ``*`` stops at ``?`` as well."""
+    """Multiword Shift-And over a list of globs; in the first ``n_host`` of them ``*`` stops at ``?`` as well."""
 
-    def __init__(self, globs: list[str], n_base: int = 0):
+    def __init__(self, globs: list[str], n_host: int = 0):
         self.globs = globs
         parsed = [self._parse(g) for g in globs]
         width = sum(len(signs) + 1 for signs, _ in parsed)
         self.n_words = max(1, (width + 63) // 64)
-        letters = sorted({s for signs, _ in parsed for s in signs if s is not None} | {"/", "?"})
+        letters = sorted({s for signs, _ in parsed for s in signs} - {"^"} | set(_SEPARATORS))
         self.letters = np.array([ord(c) for c in letters], dtype=np.uint32)
         # sign 0 stands for every sign no glob names
         step, loop = self._zero(len(letters) + 1), self._zero(len(letters) + 1)
         start, last, self.final = self._zero(1)[0], self._zero(1)[0], []
         bit = 0
         for number, (signs, loops) in enumerate(parsed):
-            stops = "/?" if number < n_base else "/"
+            stops = "/?" if number < n_host else "/"
             self._set(start, bit)
             for k in range(len(signs) + 1):
                 if k in loops:
@@ -53,7 +59,7 @@ class GlobAutomaton:
                             self._set(loop[s], bit + k)
                 if k:
                     for s in range(len(letters) + 1):
-                        if signs[k - 1] is None or (s and letters[s - 1] == signs[k - 1]):
+                        if s and (letters[s - 1] == signs[k - 1] or signs[k - 1] == "^" and letters[s - 1] in _SEPARATORS):
                             self._set(step[s], bit + k)
             bit += len(signs)
             self._set(last, bit)
@@ -105,11 +111,15 @@ class GlobAutomaton:
         return np.stack([(state[:, w] & mask) != 0 for w, mask in self.final], axis=1)
 
 
-def filter_urls(pages: DataFrame, base=BASE_RULES, own=OWN_RULES) -> DataFrame:
-    """Verdict of every URL; map-only, the rules are a bounded parameter."""
+def filter_urls(pages: DataFrame, base=BASE_RULES, own=OWN_RULES, host_words=HOST_WORDS) -> DataFrame:
+    """Verdict of every URL; map-only, the rules are a bounded parameter. own_rule: the first own glob or ``host:word``."""
     base = sorted(base, key=lambda r: (-len(r[1] + r[2]), r[0] != "block", r[1], r[2]))
-    automaton = GlobAutomaton([f"*.{host}{path}**" for _, host, path in base] + list(own), len(base))
+    words = [(f"host:{w}", glob) for w in host_words for glob in (f"*.{w}^**", f"*-{w}^**", f"*.{w}", f"*-{w}")]
+    hosts = [f"*.{host}{path}**" for _, host, path in base] + [glob for _, glob in words]
+    automaton = GlobAutomaton(hosts + list(own), len(hosts))
     n = len(base)
+    # globs of the own rules come first among the names, as they did before there were host words
+    own = [(len(hosts) + i, glob) for i, glob in enumerate(own)] + [(n + i, name) for i, (name, _) in enumerate(words)]
 
     def judge(batches):
         for batch in batches:
@@ -117,7 +127,7 @@ def filter_urls(pages: DataFrame, base=BASE_RULES, own=OWN_RULES) -> DataFrame:
             rule, verdict, own_rule = [], [], []
             for row in hit:
                 first = next((i for i in range(n) if row[i]), None)
-                mine = next((own[i] for i in range(len(own)) if row[n + i]), None)
+                mine = next((name for i, name in own if row[i]), None)
                 rule.append(None if first is None else base[first][1] + base[first][2])
                 verdict.append(base[first][0] if first is not None else "block" if mine is not None else "allow")
                 own_rule.append(mine)
