@@ -3,7 +3,8 @@
 Turn structs of a conversation are collected, sorted by (turn, role, text) with nulls first, adjacent turns of one role
 share a header (their texts stay apart by a control string), and everything is concatenated. Control strings inside texts
 and roles get one backslash more (``<|`` becomes ``<\\|``), which reading takes away again. ``loss_runs`` is the loss mask
-as run lengths: signs to skip, then signs to learn, per turn. A conversation is one row by definition of the format.
+as run lengths: signs to skip, then signs to learn, per turn. ``parts`` are the pieces of ``formatted``, one a turn, in which the
+mask is applied in time linear in the text. A conversation is one row by definition of the format.
 
 Null text and role count as empty; a null ``conv_id`` is a conversation of its own; repeated rows are repeated turns.
 """
@@ -32,7 +33,7 @@ def unescape_role(role: Column) -> Column:
 
 
 def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """conv_id, formatted, loss_runs: one row per conversation."""
+    """conv_id, formatted, parts, loss_runs: one row per conversation."""
     empty = F.lit("")
     collected = turns.select(
         "conv_id", F.struct("turn", F.coalesce("role", empty).alias("role"),
@@ -49,10 +50,9 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
             (t["role"] == F.lit(loss_role)).alias("loss"))
 
     pieces = collected.select("conv_id", F.transform("turns", piece).alias("pieces"))
-    return pieces.select(
-        "conv_id",
-        F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], p["tail"])), "").alias("formatted"),
-        F.transform("pieces", lambda p: F.struct(
+    parts = F.transform("pieces", lambda p: F.concat(p["head"], p["body"], p["tail"]))
+    return pieces.withColumn("parts", parts).select(
+        "conv_id", F.array_join("parts", "").alias("formatted"), "parts", F.transform("pieces", lambda p: F.struct(
             (F.length(p["head"]) + F.when(p["loss"], 0).otherwise(F.length(p["body"]))).alias("skip"),
             F.when(p["loss"], F.length(p["body"])).otherwise(0).alias("learn"),
             F.length(p["tail"]).alias("skip_after"))).alias("loss_runs"))
@@ -73,13 +73,9 @@ def read_chats(formatted: DataFrame) -> DataFrame:
 
 
 def learnt_text(chats: DataFrame) -> DataFrame:
-    """Adds ``learnt``: what the loss mask cuts out of ``formatted``, unescaped."""
-    ends = F.aggregate(
-        "loss_runs", F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("spans")),
-        lambda a, r: F.struct(
-            (a["at"] + r["skip"] + r["learn"] + r["skip_after"]).alias("at"),
-            F.concat(a["spans"], F.array(F.substr(F.col("formatted"), a["at"] + r["skip"], r["learn"]))).alias("spans")))
-    return chats.withColumn("learnt", F.array_join(F.transform(ends["spans"], unescape), ""))
+    """Adds ``learnt``: what the loss mask cuts out of the parts of ``formatted``, unescaped."""
+    spans = F.zip_with("parts", "loss_runs", lambda p, r: unescape(F.substr(p, r["skip"] + 1, r["learn"])))
+    return chats.withColumn("learnt", F.array_join(spans, ""))
 
 
 def chat_digests(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
