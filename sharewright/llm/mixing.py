@@ -33,10 +33,11 @@ def n_tokens_of(text: Column) -> Column:
     return F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")).cast("long")
 
 
-def with_cells(docs: DataFrame) -> DataFrame:
+def with_cells(docs: DataFrame, topic: Column | None = None) -> DataFrame:
+    """Axis values and tokens of every document; `topic`: a column of the caller instead of the coarse one (null: '')."""
     text = F.coalesce("text", F.lit(""))
     return docs.withColumns({"_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit("")),
-                             "_topic": topic_of(text), "_tokens": n_tokens_of(text)})
+                             "_topic": topic_of(text) if topic is None else F.coalesce(topic.cast("string"), F.lit("")), "_tokens": n_tokens_of(text)})
 
 
 def _share(value: Column, *by: str) -> Column:
@@ -52,7 +53,7 @@ def rake(stages: Stages, cells: DataFrame, alpha=ALPHA, targets: dict[str, dict[
         for value, share in (targets or {}).get(axis, {}).items():
             wish = F.when(F.col(axis) == value, F.lit(float(share))).otherwise(wish)
         total = sums.agg(F.sum(wish).alias("all"))
-        sums = sums.join(F.broadcast(total)).select(axis, (wish / F.col("all")).alias(f"{axis}_target"))  # one row
+        sums = sums.select(axis, (wish / total.scalar()).alias(f"{axis}_target"))
         cells = cells.join(sums, axis)
     cells = stages(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
     for _ in range(ROUNDS // STEP):
@@ -82,10 +83,11 @@ def calibrate(cells: DataFrame, budget: float) -> float:
     return high
 
 
-def mix(docs: DataFrame, budget: float = BUDGET, alpha=ALPHA, targets=None, seed: int = 11) -> DataFrame:
+def mix(docs: DataFrame, budget: float = BUDGET, alpha=ALPHA, targets=None, seed: int = 11,
+        topic: Column | None = None) -> DataFrame:
     """``docs`` with topic, n_tokens, weight (of the cell), probability and kept."""
     stages = Stages(docs.sparkSession, "mixing")
-    spread = with_cells(docs)
+    spread = with_cells(docs, topic)
     sums = stages(spread.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")), "sums")
     cells = rake(stages, sums.select(F.col("_source").alias("source"), F.col("_lang").alias("lang"),
                                      F.col("_topic").alias("topic"), "tokens"), alpha, targets)

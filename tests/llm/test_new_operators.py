@@ -8,8 +8,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from sharewright.llm import (fuse_dedup, jaccard_pivots, merkle_manifest, periodic_runs, queries, range_shards,
-                             substring_doubling)
+from sharewright.llm import (chat_format, fuse_dedup, jaccard_pivots, merkle_manifest, mixing, periodic_runs, queries, range_shards,
+                             substring_doubling, url_filter)
 
 RNG = random.Random(11)
 ODD = [(1, None), (2, ""), (None, "null id here"), (3, " \n\t\x0b "), (4, "one"), (5, "É ß 😀 x\x00y z   a"),
@@ -240,3 +240,52 @@ def test_small_groups_of_equal_texts_stay_in_one_shard(make_docs):
     assert all(len(s) == 1 for t, s in where.items() if t != "huge group")
     assert max(sizes.values()) - min(sizes.values()) <= sum(sizes.values()) / 16 / range_shards.GROUP_SHARE * 2 + 400
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_host_words_stand_alone_between_dots_and_hyphens(spark):
+    urls = {"http://free-bets.net/x": "host:bets", "http://www.casino.org/": None, "http://casino.net": "host:casino",
+            "http://x.net/casino/": None, "http://alphabets.net/": None, "http://a.net?h=-casino-": None, "http://x.casino?q": "host:casino",
+            "http://m.ads-track.com/en/": "host:ads", "http://ads.net/a.zip": "**.ads.**", "http://a.net/a.zip": "**.zip", "http://a-xxx-b.net:80/": "host:xxx"}
+    rows = spark.createDataFrame(list(enumerate(urls.items())), "page_id long, u struct<url:string,own:string>").select("page_id", "u.*")
+    got = {r.page_id: r for r in url_filter.filter_urls(rows).collect()}
+    for i, (url, own) in enumerate(urls.items()):
+        if url == "http://www.casino.org/":                        # the base rule decides the verdict
+            assert (got[i].own_rule, got[i].rule, got[i].verdict) == ("host:casino", "org/", "allow")
+        else:
+            assert (got[i].own_rule, got[i].verdict) == (own, "block" if own else "allow"), url
+    assert url_filter.filter_urls(rows.limit(0)).collect() == []
+
+
+def test_loss_mask_of_a_long_conversation_is_linear(spark):
+    rows = [(1, t, "assistant" if t % 3 else "user", f"<|turn|> {t} " * 9) for t in range(6000)]
+    frame = spark.createDataFrame(rows + rows[:2], "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1))
+    got = chat_format.chat_digests(frame).first()
+    turns = sorted(rows + rows[:2], key=lambda r: r[1])
+    learnt = "".join(t for _, _, r, t in turns if r == "assistant")
+    assert (got.n_turns, got.loss_chars, got.loss_sha256) == (6002, len(learnt), sha(learnt))
+
+
+def test_every_axis_of_the_mixture_and_every_draw(make_docs):
+    texts = [(i, " ".join(words(5 + i % 40, 50)) + (" 7" if i % 4 == 0 else " |" if i % 7 == 0 else "")) for i in range(500)]
+    docs = make_docs(texts).withColumn("lang", F.element_at(F.array(F.lit("en"), F.lit("de"), F.lit(None)), (F.floor(F.col("doc_id") / 3) % 3 + 1).cast("int")))
+    for topic in (None, F.col("doc_id") % 5):
+        rows = mixing.mix(docs, topic=topic).collect()
+        cell = lambda r: (r.source or "", r.lang or "", r.mix_topic)
+        tokens, weight = {}, {}
+        for r in rows:
+            tokens[cell(r)] = tokens.get(cell(r), 0) + r.mix_tokens
+            assert weight.setdefault(cell(r), r.mix_weight) == r.mix_weight
+        for axis, alpha in enumerate((0.5, 0.7, 1.0)):
+            values = {}
+            for c, t in tokens.items():
+                values[c[axis]] = values.get(c[axis], 0) + t
+            total = sum(v ** alpha for v in values.values())
+            for v, t in values.items():
+                assert abs(sum(w for c, w in weight.items() if c[axis] == v) - t ** alpha / total) < 1e-4
+        expected = sum(min(1.0, r.mix_probability) * r.mix_tokens for r in rows)
+        assert abs(expected / sum(tokens.values()) - mixing.BUDGET) < 0.01
+        drawn = sum(r.mix_tokens for r in rows if r.mix_kept)
+        assert abs(drawn - expected) < 5 * sum(r.mix_tokens ** 2 * r.mix_probability * (1 - r.mix_probability) for r in rows) ** 0.5 + 1
+        # one scale for all cells: probability / (weight / tokens) is constant below 1
+        scales = [r.mix_probability * tokens[cell(r)] / r.mix_weight for r in rows if r.mix_probability < 0.999]
+        assert not scales or max(scales) / min(scales) < 1.001
