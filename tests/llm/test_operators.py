@@ -240,9 +240,86 @@ def test_raked_weights_meet_the_targets(spark, make_docs):
     assert mixing.mix(make_docs(texts).limit(0)).count() == 0
 
 
-def test_pipeline_runs_on_its_stages(spark, tmp_path, make_docs):
-    docs = make_docs(near_docs()).drop("kept", "n")
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(100, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    out = corpus_pipeline.run(spark, str(tmp_path))
-    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and 0 < out.count() <= docs.count()
+def test_pipeline_stages_equal_brute_force(spark, tmp_path, make_docs):
+    """Every stage against plain Python on what the stage before it kept; labels of both kinds make the rules reject."""
+    junk = [(1000 + i, " ".join("$$ ## " + prose(12) for _ in range(4))) for i in range(120)]
+    good = [(2000 + i, prose(40 + i % 30)) for i in range(120)]
+    pairs = near_docs() + junk + good + [(3000 + i, "\n".join(prose(6) for _ in range(5)) + "\nsame a\nsame b\nsame c\n" + prose(8))
+                                         for i in range(10)] + [(2000, good[0][1])]
+    docs = make_docs(pairs).drop("kept", "n")
+    sf_dir = str(tmp_path)
+    docs.write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame([(i, 0, 0) for i, _ in junk[:90]] + [(i, 1, 0) for i, _ in good[:90]] + [(2001, 0, 0)],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{sf_dir}/labels.parquet")
+    kept, docs = {}, docs.select(*corpus_pipeline.COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(f"{sf_dir}/{name}")
+        kept[name] = docs = spark.read.parquet(f"{sf_dir}/{name}")
+
+    def texts(name):
+        return Counter((r.doc_id, r.text) for r in kept[name].collect())
+
+    # quality: base rules by hand, the learned list read out and tried in Python
+    def measures(t):
+        w = re.split(r"[ \t\n\x0b\x0c\r]+", t or "")
+        w = [x for x in w if x]
+        windows = Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+        repeat = {j for k in range(len(w) - 4) if windows[tuple(w[k:k + 5])] > 1 for j in range(k, k + 5)}
+        return len(w), len(w) < 10 or 100 * len(repeat) > 20 * len(w), sum(c in "#*$%&|<>" for c in t or "")
+    judged = Counter((i, t) for i, t in pairs if not measures(t)[1])
+    survivors = texts("quality_rules")
+    assert not survivors - Counter({(i, t or ""): n for (i, t), n in judged.items()})
+    rejected = Counter({(i, t or ""): n for (i, t), n in judged.items()}) - survivors
+    assert {i for i, _ in rejected} >= {i for i, _ in junk} and not {i for i, _ in rejected} & {i for i, _ in good}
+    # lines: as in the test of the operator
+    seen, want = set(), Counter()
+    for (i, t), n in sorted(survivors.items(), key=lambda x: (x[0][0] is not None, x[0][0] or 0)):
+        lines, gone = t.split("\n"), set()
+        for k in range(len(lines) - 2):
+            window = tuple(lines[k:k + 3])
+            if any(x.strip() for x in window):
+                gone |= {k, k + 1, k + 2} if window in seen else set()
+                seen.add(window)
+        if len(gone) < len(lines):
+            want[i, "\n".join(x for k, x in enumerate(lines) if k not in gone)] += n
+    assert texts("line_dedup") == want and want != survivors
+    # near copies: of every component the rows of its smallest id stay
+    rows = [r for r, n in want.items() for _ in range(n)]
+    sets = [{tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if (w := lower(t).split()) else set() for _, t in rows]
+    label = list(range(len(rows)))
+    for x in range(len(rows)):
+        for y in range(x):
+            same = rows[x][0] is not None and rows[x][0] == rows[y][0]
+            if sets[x] and sets[y] and (same or 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])):
+                old, new = label[x], label[y]
+                label = [new if v == old else v for v in label]
+    least = {}
+    for (i, _), v in zip(rows, label):
+        if i is not None:
+            least[v] = min(i, least.get(v, i))
+    stay = Counter(r for r, v, s in zip(rows, label, sets) if not s or r[0] is None or r[0] == least[v])
+    assert texts("jaccard_join") == stay and sum(stay.values()) < len(rows)
+    # mixing: the draws of the operator, whose weights and draws have a test of their own
+    drawn = mixing.mix(kept["jaccard_join"]).filter("mix_kept")
+    assert texts("source_mixing") == Counter((r.doc_id, r.text) for r in drawn.collect())
+    assert set(kept["source_mixing"].columns) == set(corpus_pipeline.COLUMNS)
+    # encoding: the library
+    import tokenizers
+    library = tokenizers.Tokenizer.from_file(queries.tokenizer_path())
+    library.no_truncation()
+    library.no_padding()
+    want = Counter()
+    for (i, t), n in texts("source_mixing").items():
+        ids = library.encode(t, add_special_tokens=False).ids
+        want[i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+             hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()] += n
+    assert Counter(map(tuple, kept["bpe_encoding"].collect())) == want
+    whole = corpus_pipeline.run(spark, sf_dir)
+    assert Counter(map(tuple, whole.collect())) == want
+
+
+def test_pipeline_stands_empty_tables(spark, tmp_path, make_docs):
+    make_docs([]).drop("kept", "n").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
