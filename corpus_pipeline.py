@@ -1,4 +1,9 @@
-"""Corpus pipeline: quality rules, line dedup, n-gram Jaccard join, mixing to target weights, BPE encoding."""
+"""Corpus pipeline: quality rules, line dedup, n-gram Jaccard join, mixing to target weights, BPE encoding.
+
+Documents are told by doc_id where copies go: rows of one doc_id stay or go together, so repeated rows of a document that stays all
+stay. Rows without a doc_id are never dropped as copies, as no id says which of them is meant. Empty tables give an empty
+result; without labels of both kinds the base rules alone decide.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: The learned rules, the raking and the encoding cannot be said in SQL; tests compare with brute force.
+#: The learned rules, the raking and the encoding cannot be said in SQL; a test compares every stage with brute force.
 ORACLE_SQL = None
