@@ -28,10 +28,14 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only where the session names none (tests)."""
+    """The shared folder the cluster names; where it names none, the warehouse, and a private folder in local mode (tests)."""
     named = spark.conf.get(_CHECKPOINT, None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="spark-stage-")
+        master = spark.sparkContext.master
+        if master.startswith("local") and not master.startswith("local-cluster"):
+            named = tempfile.mkdtemp(prefix="spark-stage-")
+        else:                       # no folder of one machine on a cluster: the warehouse is shared
+            named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
