@@ -139,7 +139,7 @@ def asof_attribute(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_quantity", "l_shipdate").join(o, "l_orderkey")
     own = F.when(F.col("l_linenumber") == 1, F.col("l_linestatus"))
     at = thursday(F.trunc(F.col("l_shipdate").cast("date"), "week"))
-    rows = asof(l.withColumn("own", own), h, _KEYS, at, ["status"])
+    rows = asof(l.withColumn("own", own), h, _KEYS, at, ["status"], stages=stages)
     rows = with_fallback(rows, "attribute", [("asof_status", "HISTORY"), ("own", "OWN")], "NONE", "origin")
     return rows.groupBy("attribute", "origin").agg(F.count("*").alias("n_rows"), F.sum("l_quantity").alias("quantity"))
 

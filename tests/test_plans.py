@@ -1,6 +1,8 @@
 """Plans of the datasets on small fixtures: what is corrected, what is flagged, what is removed."""
 import datetime as dt
+import random
 from dataclasses import replace
+from datetime import timedelta
 from functools import reduce
 from types import SimpleNamespace
 
@@ -154,6 +156,44 @@ def test_close_asof_and_successor(spark):
     assert got == ["a", "b", None, None]
 
 
+def test_asof_of_a_hot_key_equals_brute_force_and_meets_no_pairs(spark, stages):
+    rng = random.Random(5)
+    begin = D(1990, 1, 1)
+    spans, at = [], 0
+    while at < 9000:                                      # gaps, days of one interval, and other keys
+        length = rng.randrange(1, 6)
+        spans.append(("hot" if at % 3 else None, begin + timedelta(at), begin + timedelta(at + length - 1), f"v{at}"))
+        at += length + rng.randrange(0, 3)
+    spans += [("cold", begin, None, "open"), ("cold", D(1995, 1, 1), D(1994, 1, 1), "never"), ("cold", D(1993, 1, 1), D(1999, 1, 1), "w")]
+    asked = [(i, rng.choice(["hot", "hot", "cold", "none", None]), None if i % 97 == 0 else begin + timedelta(rng.randrange(-5, 9005)))
+             for i in range(4000)]
+    h = spark.createDataFrame(spans, "k string, valid_from date, valid_to date, v string")
+    q = spark.createDataFrame(asked, "id int, k string, d date")
+    by_key: dict = {}
+    for k, a, b, v in spans:
+        if k is not None and b is not None:
+            by_key.setdefault(k, []).append((a, b, v))
+    expected = {i: next((v for a, b, v in by_key.get(k, []) if d and a <= d <= b), None) for i, k, d in asked}
+    for out in (asof(q, h, ["k"], F.col("d"), ["v"]), asof(q, h, ["k"], F.col("d"), ["v"], stages=stages),
+                asof(q, h, ["k"], F.col("d"), ["v"], points=q.select("k", F.col("d").alias("_at")).union(
+                    spark.createDataFrame([("hot", begin)], "k string, _at date")))):
+        got = out.collect()
+        assert len(got) == 4000 and {r.id: r.asof_v for r in got} == expected
+    assert asof(q.limit(0), h, ["k"], F.col("d"), ["v"]).count() == 0
+    assert asof(q, h.limit(0), ["k"], F.col("d"), ["v"]).where("asof_v is not null").count() == 0
+
+
+def test_asof_stays_linear_in_a_key_of_many_intervals(spark, stages):
+    n = 100_000
+    day = F.date_add(F.lit("1600-01-01").cast("date"), F.col("id").cast("int"))
+    h = spark.range(n).select(F.lit("s").alias("k"), day.alias("valid_from"), day.alias("valid_to"), F.col("id").alias("v"))
+    q = spark.range(n).select(F.lit("s").alias("k"), "id", day.alias("d"))
+    out = asof(q, h, ["k"], F.col("d"), ["v"], stages=stages)
+    assert out.where("id = asof_v").count() == n
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=" not in plan and ">=" not in plan             # the join of the rows has equalities only
+
+
 # ------------------------------------------------------------------ series
 def test_short_spike_is_an_error_and_a_long_one_an_event(spark):
     rows = []
