@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import blank, digits, inside_box, normalise, suggest_code, unmaskable
 from ..operators.conform import base_unit_size, conflict, fillable, mapping_frame, named_in
 from ..operators.geo import follows_group, geo_status, group_dispersion
-from ..operators.keyed import alias_lists, aliases, attach, survivors
+from ..operators.keyed import alias_lists, alias_pieces, aliases, attach, survivors
 from ..operators.reference import approved, dominant_reference, entities_without, lookup, missing_from
 from ..session import Stages
 from ..settings import COUNTRY_BOX, STATES
@@ -111,6 +111,22 @@ def alias_list(spark, sf_dir):
     return out.withColumn("alias_ids", F.array_join(F.transform("alias_ids", lambda x: x.cast("string")), ","))
 
 
+@query(f"""WITH {_SURV},
+a AS (SELECT p_brand, survivor, p_partkey FROM s WHERE p_partkey <> survivor),
+n AS (SELECT *, row_number() OVER (PARTITION BY p_brand, head ORDER BY p_partkey) - 1 AS place, count(*) OVER (PARTITION BY p_brand, head) AS n
+      FROM (SELECT *, min(survivor) OVER (PARTITION BY p_brand) AS head FROM a))
+SELECT p_brand, head AS survivor, n AS n_aliases, place // 5 AS piece, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS alias_ids
+FROM n GROUP BY ALL""")
+def alias_list_pieces(spark, sf_dir):
+    """All lost identifiers of a brand under its first survivor, in numbered lists of five."""
+    stages = Stages(spark, "aliases")
+    lost = stages(aliases(_survivors(spark, sf_dir, stages), ["p_brand"], "p_partkey", "survivor"), "aliases")
+    first = stages(lost.groupBy("p_brand").agg(F.min("survivor").alias("head")), "first")
+    rows = attach(lost, first, ["p_brand"]).select("p_brand", F.col("head").alias("survivor"), "alias")
+    out = alias_pieces(rows, ["p_brand"], stages, size=5)
+    return out.withColumn("alias_ids", F.array_join(F.transform("alias_ids", lambda x: x.cast("string")), ","))
+
+
 @query(f"""WITH {_SURV} SELECT p_brand, p_name, survivor, p_partkey AS alias FROM s WHERE p_partkey <> survivor""")
 def alias_rows(spark, sf_dir):
     """One row per lost identifier."""

@@ -70,11 +70,27 @@ def aliases(df: DataFrame, keys: Sequence[str], identifier: str, survivor: str)
 
 
 def alias_lists(alias_rows: DataFrame, keys: Sequence[str], name: str = "alias_ids") -> DataFrame:
-    """Sorted list and number of the aliases of a key, whatever their number; `aliases()` has them one row each."""
+    """Sorted list and number of the aliases of a key in one row, the established format of the product table. A list is as long
+    as its key has aliases; `aliases()` and `alias_pieces()` have them in rows of bounded size."""
     lists = alias_rows.groupBy(*keys, "survivor").agg(F.array_sort(F.collect_set("alias")).alias(name))
     return lists.select(*keys, "survivor", F.size(name).cast("long").alias("n_aliases"), name)
 
 
+def alias_pieces(alias_rows: DataFrame, keys: Sequence[str], stages: Stages, size: int = 1000, name: str = "alias_ids") -> DataFrame:
+    """Aliases of a key in consecutive sorted lists of `size` (the last one shorter): survivor, n_aliases, piece (from 0), list.
+
+    For groups of any size: aliases are numbered over ordered ranges, so no task and no row ever holds a whole key. An alias
+    met twice counts once; a key without aliases has no row.
+    """
+    group = [*keys, "survivor"]
+    rows = stages(alias_rows.select(*group, "alias").distinct(), "distinct-aliases")
+    total = stages(rows.groupBy(*group).agg(F.count("*").alias("n_aliases")), "alias-counts")
+    numbered = running_number(rows, group, [F.col("alias")], stages, "_number")
+    piece = F.floor((F.col("_number") - 1) / size).cast("long")
+    pieces = numbered.groupBy(*group, piece.alias("piece")).agg(F.sort_array(F.collect_list("alias")).alias(name))
+    return attach(pieces, total, group).select(*group, "n_aliases", "piece", name)
+
+
 def number_copies(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "copy",
                   chunk: int = 1_000_000) -> DataFrame:
     """Running number of each row inside its group of identical content, ordered by `order`.

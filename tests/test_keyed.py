@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sharewright.operators.keyed import (alias_lists, aliases, attach, exact_median, latest, number_copies,
+from sharewright.operators.keyed import (alias_lists, alias_pieces, aliases, attach, exact_median, latest, number_copies,
                                          running_number, sample_rows, survivors, with_other_source, with_repeat_count)
 from sharewright.operators.reference import dominant_reference
 from sharewright.operators.versions import mark_versions
@@ -62,6 +62,18 @@ def test_survivor_and_aliases(spark, stages):
     assert whole.n_aliases == 3000 and whole.alias_ids == [f"A{i:05d}" for i in range(3000)]
 
 
+def test_alias_pieces_hold_every_alias_once_in_bounded_lists(spark, stages):
+    rows = [("hot", "P0", f"A{i:05d}") for i in range(5003)] + [("x", "P1", "B2"), ("x", "P1", "B1"), ("x", "P1", "B1"), (None, "P2", "C")]
+    df = spark.createDataFrame(rows, "ean string, survivor string, alias string").repartition(7)
+    got = alias_pieces(df, ["ean"], stages, size=100).collect()
+    hot = sorted((r for r in got if r.ean == "hot"), key=lambda r: r.piece)
+    assert [r.piece for r in hot] == list(range(51)) and {len(r.alias_ids) for r in hot} == {100, 3}
+    assert [a for r in hot for a in r.alias_ids] == [f"A{i:05d}" for i in range(5003)] and {r.n_aliases for r in hot} == {5003}
+    rest = {r.ean: (r.survivor, r.n_aliases, r.piece, r.alias_ids) for r in got if r.ean != "hot"}
+    assert rest == {"x": ("P1", 2, 0, ["B1", "B2"]), None: ("P2", 1, 0, ["C"])}
+    assert alias_pieces(df.limit(0), ["ean"], stages).count() == 0
+
+
 def test_median_of_infinite_values(spark, stages):
     inf = float("inf")
     df = spark.createDataFrame([("a", inf), ("a", inf), ("a", 1.0), ("b", -inf), ("b", 2.0), ("b", 3.0)], "key string, v double")
