@@ -142,7 +142,7 @@ SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'EAN-' || lpad(CAST(p_partkey
 def code_suggestions(spark, sf_dir):
     """Malformed codes get a suggestion, never a change; package size in base units."""
     k = F.col("p_partkey")
-    code = F.when(k % 7 == 0, padded("EAN-", k, 8)).otherwise(F.lpad(text(k), 13, "7"))
+    code = F.when(k % 7 == 0, F.concat(F.lit("EAN-"), F.lpad(text(k), 8, "0"))).otherwise(F.lpad(text(k), 13, "7"))
     p = table(spark, sf_dir, "part").select(
         "p_partkey", code.alias("code"), padded("P", k, 6).alias("product_id"), "p_size",
         F.when(F.col("p_size") % 2 == 0, "G").otherwise("KG").alias("unit"))

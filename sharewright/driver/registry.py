@@ -43,7 +43,8 @@ def text(column: str | Column) -> Column:
 
 
 def padded(prefix: str, column: str | Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(text(column), width, "0"))
+    """Prefix and a number of at least `width` digits: a longer number is kept whole, as two ids must not become one."""
+    return F.concat(F.lit(prefix), F.lpad(text(column), F.greatest(F.lit(width), F.length(text(column))), F.lit("0")))
 
 
 def as_double(df: DataFrame, *columns: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sharewright.driver.registry import padded
 from sharewright.operators.keyed import (alias_lists, alias_pieces, aliases, attach, exact_median, latest, number_copies,
                                          running_number, sample_rows, survivors, with_other_source, with_repeat_count)
 from sharewright.operators.reference import dominant_reference
@@ -51,6 +52,11 @@ def test_number_copies_gives_every_number_once(spark):
     assert out.where("hash = 'g'").first()["copy"] == 1
 
 
+def test_ids_longer_than_their_width_stay_apart(spark):
+    df = spark.createDataFrame([(7,), (10001,), (100010,), (100011,)], "k long")
+    assert [r[0] for r in df.orderBy("k").select(padded("P", "k", 5)).collect()] == ["P00007", "P10001", "P100010", "P100011"]
+
+
 def test_survivor_and_aliases(spark, stages):
     df = spark.createDataFrame([("e", "P3", 0), ("e", "P2", 1), ("e", "P9", 1), ("f", "P1", None)], "ean string, id string, ok int")
     s = survivors(df, ["ean"], [-F.coalesce("ok", F.lit(-1))], "id", stages)
