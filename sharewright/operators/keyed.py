@@ -92,7 +92,7 @@ def alias_pieces(alias_rows: DataFrame, keys: Sequence[str], stages: Stages, siz
 
 
 def number_copies(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "copy",
-                  chunk: int = 1_000_000) -> DataFrame:
+                  chunk: int = 100_000) -> DataFrame:
     """Running number of each row inside its group of identical content, ordered by `order`.
 
     Rows equal in every column are interchangeable, so they are collapsed to one row with a multiplicity (map-side),
@@ -107,7 +107,9 @@ def number_copies(df: DataFrame, group: Sequence[str], order: Sequence[str], nam
     )
     cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     chunks = cells.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / chunk))))
-    spread = chunks.repartition(*[F.col(c) for c in group], F.col("_chunk"))
+    # a given number of tasks: chunks are tiny before they are expanded, so adaptive execution would merge all into one task
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(tasks, *[F.col(c) for c in group], F.col("_chunk"))
     first = F.col("_chunk") * chunk + 1
     last = F.least(F.col("_n"), (F.col("_chunk") + 1) * chunk)
     return spread.withColumn("_at", F.explode(F.sequence(first, last))).select(

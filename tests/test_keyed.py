@@ -52,6 +52,12 @@ def test_number_copies_gives_every_number_once(spark):
     assert out.where("hash = 'g'").first()["copy"] == 1
 
 
+def test_a_large_group_of_copies_is_expanded_by_several_tasks(spark):
+    out = number_copies(spark.range(400).select(F.lit("h").alias("hash"), F.lit(0).alias("at")), ["hash"], ["at"], chunk=10)
+    tasks = out.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()
+    assert len(tasks) > 1 and sum(r["n"] for r in tasks) == 400
+
+
 def test_ids_longer_than_their_width_stay_apart(spark):
     df = spark.createDataFrame([(7,), (10001,), (100010,), (100011,)], "k long")
     assert [r[0] for r in df.orderBy("k").select(padded("P", "k", 5)).collect()] == ["P00007", "P10001", "P100010", "P100011"]
