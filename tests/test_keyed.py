@@ -125,6 +125,14 @@ def test_copies_then_versions_then_sources(spark, stages):
     assert out[("A", "k4", "h7", 1)] == (None, None, None) and out[("A", None, "h8", 1)][1] == 2
 
 
+def test_only_keys_with_copies_are_numbered(spark, stages):
+    rows = [("A", "k1", "h1", 1), ("A", "k1", "h1", 2), ("A", "k2", "h2", 1), ("B", "k3", "h3", 1)]
+    df = spark.createDataFrame(rows, "p string, k string, h string, at int")
+    out = mark_versions(df, "p", ["k"], "h", ["at"], stages)
+    assert sorted((r.k, r["copy"] or 0) for r in out.collect()) == [("k1", 1), ("k1", 2), ("k2", 0), ("k3", 0)]
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_exact_median_narrows_until_few_values_are_left(spark, stages):
     rng = random.Random(9)
     rows = [("hot", rng.uniform(100, 101)) for _ in range(2001)] + [("same", 5.0)] * 50 + [("neg", -rng.random()) for _ in range(200)]

@@ -96,6 +96,17 @@ def test_stage_changes_nothing(spark, rules, stages):
     assert build(False) == build(True)
 
 
+def test_removed_rows_are_staged_with_their_payload_only(spark, rules, stages):
+    df = spark.createDataFrame([(i, float(i), "long text", "f.csv") for i in range(4)], "k int, v double, c string, _source_file string")
+    flow = RuleFlow(df, rules, "t", ["k"], value="v").quarantine("FCT_004", F.col("k") < 2).stage(stages, "a")
+    written, = flow._parked
+    assert written.where("k IS NOT NULL OR c IS NOT NULL OR v IS NULL").count() == 0 and written.count() == 2
+    gone = flow.quarantined().orderBy("valor_brl").collect()
+    assert [(r.chave, r.valor_brl, r.arquivo_origem) for r in gone] == [('{"k":0}', 0.0, "f.csv"), ('{"k":1}', 1.0, "f.csv")]
+    assert all('"c":"long text"' in r.payload for r in gone)
+    assert sorted(r.k for r in flow.survivors().collect()) == [2, 3]
+
+
 def test_status_takes_the_strongest_label_and_ignores_unknown_ids(spark, rules):
     rows = [(["PRD_004", "PRD_003"],), (["PRD_004"],), ([],), (["ZZZ"],), (["FCT_016"],)]
     df = spark.createDataFrame(rows, "f array<string>").select(status_of(F.col("f"), rules).alias("s"))
