@@ -160,7 +160,7 @@ def cell_quality(spark, sf_dir):
     """Coverage weighted by stores, and quarantined share, per week and cut (full outer)."""
     stages = Stages(spark, "quality")
     fact, removed, stores, chain = _inputs(spark, sf_dir, stages)
-    rows = cell_rows(per_store(fact, CUTS), removed, stores, CUTS)
+    rows = cell_rows(fact, removed, stores, CUTS)
     return rows.join(cell_coverage(chain, stores, CUTS), ["level", "level_value", "year_week"], "left")
 
 
