@@ -180,7 +180,9 @@ UNION ALL SELECT 'GLD_004', count(*), count_if(ms_status NOT IN ('OFICIAL', 'SEM
 UNION ALL SELECT 'GLD_005', count(*), count_if(c = 'channel'), 'REJEITADO' FROM (SELECT DISTINCT unnest({sorted({*_FACT_COLUMNS, *SHARE_COLUMNS})}) AS c)""")
 def publication_gates(spark, sf_dir):
     """G8 (GLD_001-005), P13: conservation of rows and value, sum of shares, official cells, a column that must not be published."""
-    ms, fact, removed = _shares(spark, sf_dir, Stages(spark, "gates"))
+    stages = Stages(spark, "gates")
+    ms, fact, removed = _shares(spark, sf_dir, stages)
+    ms = stages(ms, "shares")                    # read by three aggregates
     lines = fact.select("store_id").union(removed.select("store_id"))
     gates = gate_counts(spark, lines, fact, removed, fact.select(*_FACT_COLUMNS), ms, 1e-4, ("contact_name", "channel"))
     return rule_log(gates, default_catalogue(), "run").select("regra_id", "avaliados", "falhas", "resultado")
