@@ -105,9 +105,13 @@ def _inputs(spark, sf_dir, stages):
     return fact, removed, stores, stages(chain, "chain")
 
 
-def _shares(spark, sf_dir, stages):
+#: The cut without columns: its cells do not depend on those of the other cuts.
+WHOLE_MARKET = {name: columns for name, columns in CUTS.items() if not columns}
+
+
+def _shares(spark, sf_dir, stages, cuts=CUTS):
     fact, removed, stores, chain = _inputs(spark, sf_dir, stages)
-    ms = market_share(fact, removed, stores, chain, CUTS, MIN_COVERAGE, MAX_QUARANTINE, NO_TERRITORY, stages)
+    ms = market_share(fact, removed, stores, chain, cuts, MIN_COVERAGE, MAX_QUARANTINE, NO_TERRITORY, stages)
     return ms, fact, removed
 
 
@@ -216,7 +220,7 @@ SELECT year_week, category, CAST((share + 50) // 100 AS DOUBLE) / 1000000 AS sha
   CASE WHEN count(official) OVER w >= 3 THEN CAST((2 * sum(official) OVER w + 100 * count(official) OVER w) // (200 * count(official) OVER w) AS DOUBLE) / 1000000 END AS moving_mean FROM o WINDOW w AS (PARTITION BY category ORDER BY year_week ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""")
 def own_share_moving_mean(spark, sf_dir):
     """Own share and its mean over the last four official weeks, needing three."""
-    ms, *_ = _shares(spark, sf_dir, Stages(spark, "series"))
+    ms, *_ = _shares(spark, sf_dir, Stages(spark, "series"), WHOLE_MARKET)
     s = own_share_series(ms)
     return s.withColumns({c: F.round(c, 6).cast("double") for c in ("share", "moving_mean")})
 
