@@ -242,7 +242,7 @@ WHERE year_week = (SELECT max(year_week) FROM ms WHERE level = 'NACIONAL' AND ms
 ORDER BY store_id, brand, f.sales_value_brl LIMIT 500""")
 def last_official_facts(spark, sf_dir):
     """Sample of the last official week (a top-k report)."""
-    ms, fact, _ = _shares(spark, sf_dir, Stages(spark, "sample"))
+    ms, fact, _ = _shares(spark, sf_dir, Stages(spark, "sample"), WHOLE_MARKET)
     rows = fact.withColumn("ean", F.struct("brand", "sales_value_brl")).withColumn("dq_flags", F.lit(None))
     out = fact_sample(rows.select("store_id", "brand", "year_week", "sales_value_brl", "ean", "dq_flags"), ms)
     return as_double(out.drop("ean"), "sales_value_brl")
