@@ -5,11 +5,14 @@ common bucket; of buckets with the same members one stays. In a bucket, pivots s
 with the bucket's pivot (Jaccard distance is a metric), members within the radius are linked to it, and the distances bound
 all others by the triangle inequality: members whose distances to a pivot differ by more than the radius cannot be linked.
 Classes already connected need no more comparing; buckets still holding several components get new pivots, and what the
-windows leave of them is compared exactly. Sizes and parity sketches rule out most unlike pairs before their sets are read.
-Components are the same as those of all links.
+windows leave of them is compared exactly. Sizes, places and parity sketches rule out most unlike pairs before their sets are
+read: where a bucket is the first that two sets share, they share at most what each has left from there on, and a linked
+pair is met in its first bucket. Components are the same as those of all links.
 
 The order of shingles (by the count of their cell in a table of fixed size, then by value) serves the choice of rare ones
-only: any order gives the same links. Shingles are told by 64-bit digests, whole sets by 128 bits and their size. Whole sets are
+only: any order gives the same links. The table has to be large, as a repeated shingle stands out of its cell only if the
+others in it are few; a prefix of shingles that are not rare leads unlike documents together, the more of them the larger
+the corpus is. Shingles are told by 64-bit digests, whole sets by 128 bits and their size. Whole sets are
 made again from the texts of documents that share a bucket, so that sets of all others are never written.
 
 Null or wordless text: no shingles, linked with nothing. Repeated doc_ids: all rows of one doc_id share a component. Null
@@ -19,20 +22,25 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import zlib
+from functools import reduce
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sharewright.llm.substring_doubling import _chunks, _doubled, _fresh, _Words
 from sharewright.session import Stages
 
 SHINGLE, PERCENT = 5, 80
-CELLS = 1 << 16
+#: A byte a cell goes to every task, in blocks: a bound of the model, not of the input.
+CELLS, BLOCK = 1 << 24, 1 << 16
 SKETCH_BITS = 1024
-#: Rounds end when the comparisons left are below CHEAP for each member, after PIVOT_ROUNDS at the latest.
+#: Rounds end when the comparisons left, or those that the last round spared, are below CHEAP for each member, after
+#: PIVOT_ROUNDS at the latest.
 PIVOT_ROUNDS, CHEAP = 8, 3
 
 
@@ -131,21 +139,36 @@ def _distances(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _cell_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """Windows of all texts in each cell: at most CELLS rows from a task, and CELLS rows at the driver."""
+    """Windows of all texts in each cell, as a byte that grows with the logarithm (steps of 4.4 %). A task counts to 255 and
+    gives a compressed block of cells at a time, blocks are added up where they meet, and the driver gets CELLS bytes."""
     def count(batches):
-        total, known = np.zeros(CELLS, dtype=np.int64), _Words()
+        total, known = np.zeros(CELLS, dtype=np.uint8), _Words()
         for batch in batches:
             for part in _words_of(batch.column(0)):
                 known = _fresh(known)
                 digests, _ = _windows([w for _, w in part], known, n)
-                total += np.bincount((digests % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+                cells, seen = np.unique((digests % np.uint64(CELLS)).astype(np.int64), return_counts=True)
+                total[cells] = np.minimum(total[cells] + seen, 255)
+        for block, cells in enumerate(total.reshape(-1, BLOCK)):
+            if cells.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([zlib.compress(cells, 1)])], ["block", "cells"])
+
+    def gather(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, cells in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block not in total:
+                    total[block] = np.zeros(BLOCK, dtype=np.uint32)
+                total[block] += np.frombuffer(zlib.decompress(cells.as_py()), dtype=np.uint8)
+        for block, cells in total.items():
+            ranks = np.minimum(np.rint(16 * np.log2(1.0 + cells)), 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([zlib.compress(ranks, 1)])], ["block", "cells"])
 
-    times = np.zeros(CELLS, dtype=np.int64)
-    for cell, seen in docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
-        times[cell] = seen
-    return times
+    times = np.zeros((CELLS // BLOCK, BLOCK), dtype=np.uint8)
+    schema = "block long, cells binary"
+    for block, cells in docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(gather, schema).collect():
+        times[block] = np.frombuffer(zlib.decompress(cells), dtype=np.uint8)
+    return times.reshape(-1)
 
 
 def _scan(docs: DataFrame, times: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -201,22 +224,32 @@ def _sketches(sets: DataFrame) -> DataFrame:
     return sets.select("id", "shingles").mapInArrow(draw, "id long, n long, sketch array<bigint>")
 
 
+def _alike(n_a: Column, ka: Column, n_b: Column, kb: Column, percent: int) -> Column:
+    """Whether sketches allow a link: linked sets differ in at most (100 - percent) / (100 + percent) of their shingles together."""
+    differ = reduce(add, [F.bit_count(F.get(ka, i).bitwiseXOR(F.get(kb, i))) for i in range(SKETCH_BITS // 64)])
+    return differ.cast("long") * (100 + percent) <= (n_a.cast("long") + n_b) * (100 - percent)
+
+
+def _within_reach(n_a: Column, left_a: Column, n_b: Column, left_b: Column, percent: int) -> Column:
+    """Whether sizes allow a link, and the shingles from the place of the bucket on, if it is the first that the sets share."""
+    return ((F.least(n_a, n_b).cast("long") * 100 >= F.greatest(n_a, n_b).cast("long") * percent)
+            & (F.least(left_a, left_b).cast("long") * (100 + percent) >= (n_a.cast("long") + n_b) * percent))
+
+
 def _possible(sketches: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches allow to be linked: linked sets differ in at most
-    (100 - percent) / (100 + percent) of their shingles together."""
+    """The pairs (a, b) that sketches allow to be linked."""
     x = sketches.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
     y = sketches.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
-    differ = F.aggregate(F.zip_with("ka", "kb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
     return pairs.select("a", "b").join(x, "a").join(y, "b").filter(
-        (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b")
+        _alike(F.col("na"), F.col("ka"), F.col("nb"), F.col("kb"), percent)).select("a", "b")
 
 
 def _unlike_buckets(members: DataFrame) -> DataFrame:
-    """Members of one bucket for each set of members: the others ask for the same comparisons."""
+    """Members of one bucket for each set of members: the others ask for the same comparisons. The bucket that stands first
+    in the order of shingles, and so has the most shingles left in every member, stays."""
     marks = members.groupBy("bucket").agg(F.expr("bit_xor(id)").alias("m1"), F.expr("bit_xor(xxhash64(id))").alias("m2"),
-                                          F.count(F.lit(1)).alias("k"))
-    return members.join(marks.groupBy("m1", "m2", "k").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
+                                          F.count(F.lit(1)).alias("k"), F.sum(F.col("left").cast("long")).alias("left"))
+    return members.join(marks.groupBy("m1", "m2", "k").agg(F.max_by("bucket", "left").alias("bucket")).select("bucket"), "bucket")
 
 
 def _label(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -255,9 +288,13 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     # joins that move whole sets or texts are of the same kind at every size
     chosen = stages(scanned.join(one.hint("merge"), "rid", "left_semi").select("rid", "n", "prefix"), "prefixes")
     stages.drop(scanned)
-    entries = chosen.select(F.explode("prefix").alias("bucket"), F.col("rid").alias("id"), F.col("n").cast("int").alias("n"))
-    # a set has a shingle once, so a bucket counted twice holds two classes; the count packs better than two ids
-    shared = stages(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket"), "shared")
+    entries = chosen.select(F.posexplode("prefix").alias("place", "bucket"), F.col("rid").alias("id"), F.col("n").cast("int").alias("n")).select(
+        "bucket", "id", "n", (F.col("n") - F.col("place")).alias("left"))
+    # a set has a shingle once, so a bucket counted twice holds two classes; the count packs better than two ids.
+    # the smaller set of a linked pair has enough left for one of its own size
+    enough = F.col("left").cast("long") * (100 + percent) >= F.col("n").cast("long") * 2 * percent
+    shared = stages(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.max(enough).alias("enough"))
+                    .filter("k > 1 and enough").select("bucket"), "shared")
     met = stages(entries.join(shared.hint("merge"), "bucket"), "shared-members")
     stages.drop(chosen, shared)
     members = stages(_unlike_buckets(met), "members")
@@ -273,18 +310,24 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     smallest = known.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b").select("doc_id", "a")
     twins = stages(known.join(smallest, "doc_id").filter("id <> a").select("a", F.col("id").alias("b")), "twins")
     links = twins
+    left = None
     for turn in range(rounds):
         labels = components(stages, links)
         members = _label(members, labels)
         members = stages(members.join(_open_buckets(members), "bucket"), "open")
-        if turn and _pairs_left(members) <= CHEAP * members.count():
-            break
+        if turn:
+            before, left, least = left, _pairs_left(members), CHEAP * members.count()
+            if left <= least or before is not None and before - left <= least:
+                break
         # a pivot is the member with the least draw, so that buckets with common members choose the same pivots
         pivots = members.groupBy("bucket").agg(
-            F.min(F.struct(F.xxhash64("id", F.lit(turn)), F.col("id"), F.col("n"))).alias("p")).select(
-            "bucket", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"))
+            F.min(F.struct(F.xxhash64("id", F.lit(turn)), F.col("id"), F.col("n"), F.col("left"), F.col("label"))).alias("p")).select(
+            "bucket", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.left").alias("pivot_left"),
+            F.col("p.label").alias("pivot_label"))
         placed = stages(members.join(pivots, "bucket"), "placed")
-        pairs = placed.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+        pairs = placed.filter((F.col("label") != F.col("pivot_label")) & _within_reach(
+            F.col("n"), F.col("left"), F.col("pivot_n"), F.col("pivot_left"), percent)).select(
+            F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
         near = stages(_possible(sketches, pairs, percent), "pairs")
         far = stages(_distances(sets, near), "distances")
         links = stages(links.union(far.filter(F.col("shared") * 100 >= F.col("whole") * percent).select("a", "b")), "links")
@@ -293,7 +336,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
         # the pivot has been compared with the whole bucket and leaves it
         opened, members = members, stages(placed.filter("id <> pivot").join(far.select(
             F.col("a").alias("id"), F.col("b").alias("pivot"), F.col("distance").alias(window)), ["id", "pivot"], "left").select(
-            "bucket", "id", "n", *windows), "windows")
+            "bucket", "id", "n", "left", *windows), "windows")
         stages.drop(opened, placed, near, far)
     else:
         members = _label(members, components(stages, links))
@@ -302,19 +345,21 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     counts = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
     largest = counts.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("m")).select("bucket", F.col("m.label").alias("main"))
     # a pair that shares a bucket and the one before it, in both prefixes, has been met in the one before
-    before = Window.partitionBy("id").orderBy("bucket")           # a prefix: bounded by the shingles of one text
-    members = stages(members.withColumn("before", F.lag("bucket").over(before)), "ordered")
+    before = Window.partitionBy("id").orderBy(F.desc("left"))     # a prefix: bounded by the shingles of one text
+    members = members.withColumn("before", F.lag("bucket").over(before))
+    # the sketches go along, so that only pairs that they allow leave the join
+    members = stages(members.join(sketches.select("id", "sketch"), "id"), "ordered")
     x = members.alias("x")
     y = stages(members.join(largest, "bucket").filter("label <> main").drop("main"), "outside").alias("y")
     # windows of the triangle inequality; an unknown distance excludes nothing
     inside = [F.coalesce(F.abs(F.col(f"x.{w}") - F.col(f"y.{w}")) <= radius, F.lit(True)) for w in windows]
     condition = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label"))
-                 & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent))
+                 & _within_reach(F.col("x.n"), F.col("x.left"), F.col("y.n"), F.col("y.left"), percent))
     condition = condition & ~F.coalesce(F.col("x.before") == F.col("y.before"), F.lit(False))
     for test in inside:
         condition = condition & test
-    pairs = x.join(y, condition).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    pairs = stages(_possible(sketches, pairs, percent), "pairs")
+    condition = condition & _alike(F.col("x.n"), F.col("x.sketch"), F.col("y.n"), F.col("y.sketch"), percent)
+    pairs = stages(x.join(y, condition).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
     links = stages(links.union(_distances(sets, pairs).filter(F.col("shared") * 100 >= F.col("whole") * percent)
                                .select("a", "b")), "links")
     labels = components(stages, links)

@@ -289,3 +289,29 @@ def test_every_axis_of_the_mixture_and_every_draw(make_docs):
         # one scale for all cells: probability / (weight / tokens) is constant below 1
         scales = [r.mix_probability * tokens[cell(r)] / r.mix_weight for r in rows if r.mix_probability < 0.999]
         assert not scales or max(scales) / min(scales) < 1.001
+
+
+def test_prefixes_leave_out_shingles_of_three_documents(make_docs):
+    # two million shingles: with few cells, one that is found three times does not stand out
+    texts = [[f"v{RNG.getrandbits(40)}" for _ in range(300)] for _ in range(7000)]
+    for i in range(0, len(texts) - 2, 3):
+        phrase = [f"p{i}x{k}" for k in range(60)]
+        for k in range(3):
+            texts[i + k][100:160] = phrase
+    docs = make_docs([(i, " ".join(t)) for i, t in enumerate(texts)]).selectExpr("doc_id as k", "doc_id as h", "text")
+    times = jaccard_pivots._cell_counts(docs, 5)
+    prefixes = jaccard_pivots._scan(docs, times, 5, 80).select(F.explode("prefix").alias("bucket"))
+    assert prefixes.count() > 7000 * 50
+    assert prefixes.groupBy("bucket").count().filter("count > 1").count() == 0
+
+
+def test_a_reach_loses_no_linked_pair():
+    for _ in range(3000):
+        a, b = (set(RNG.sample(range(60), RNG.randrange(1, 60))) for _ in range(2))
+        b = set(list(a)[:RNG.randrange(len(a) + 1)]) | set(list(b)[:RNG.randrange(4)])
+        if 100 * len(a & b) < 80 * len(a | b) or not a & b:
+            continue
+        order = sorted(a | b)
+        first = min(a & b, key=order.index)
+        left = [sum(1 for x in s if x >= first) for s in (a, b)]
+        assert min(left) * 180 >= (len(a) + len(b)) * 80 and 100 * min(len(a), len(b)) >= 80 * max(len(a), len(b))
