@@ -13,6 +13,8 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
+from contextlib import contextmanager
 from functools import lru_cache
 
 import pandas as pd
@@ -21,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
-MAX_NODES = 1_000_000
+#: Bounds of the memory of a task: nodes of the trie, and pairs of tokens.
+MAX_NODES, MAX_PAIRS = 1_000_000, 1_000_000
 _NEVER = 1 << 60
 
 
@@ -48,8 +51,13 @@ class BpeModel:
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern)
         self.signs = byte_signs()
+        self.signs += [s + self.end for s in self.signs]
         self.longest = max(len(self.symbols_of_token(t)) for t in self.vocab)
         self.halves = {a + b: (a, b) for a, b in reversed(self.ranks)}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what has been worked out for pairs of tokens."""
         self._apart: dict[tuple, bool] = {}
         self._edges: dict[tuple, list] = {}
 
@@ -60,10 +68,11 @@ class BpeModel:
             signs[-1] += self.end
         return tuple(signs)
 
-    def symbols(self, word: str) -> tuple[str, ...]:
-        signs = [self.signs[b] for b in word.encode("utf-8")]
-        signs[-1] += self.end
-        return tuple(signs)
+    def edges(self, word: str) -> list[int]:
+        """Numbers of the signs of a word: its bytes, the last one (with the word end) plus 256."""
+        numbers = list(word.encode("utf-8"))
+        numbers[-1] += 256
+        return numbers
 
     def merged(self, parts: list[str]) -> list[str]:
         """Merges in rank order, leftmost first: the definition, used for single tokens only."""
@@ -81,7 +90,7 @@ class BpeModel:
         key = (left, right)
         known = self._apart.get(key)
         if known is None:
-            if len(self._apart) > 2_000_000:
+            if len(self._apart) > MAX_PAIRS:
                 self._apart.clear()
             if left is None:
                 known = self.merged(list(self.symbols_of_token(right))) == [right]
@@ -123,21 +132,23 @@ class PrefixTrie:
         self.clear()
 
     def clear(self):
-        self.children: dict[tuple[int, str], int] = {}
-        self.parent, self.symbol, self.token, self.begin = [-1], [""], [None], [-1]
+        self.children: dict[int, int] = {}              # node * 512 + number of the sign -> node
+        self.parent, self.begin, self.symbol, self.token = array("i", [-1]), array("i", [-1]), [""], [None]
         self.known: dict[str, tuple] = {}
 
     def add(self, words: set[str]) -> None:
         """Insert words; sorted order makes the walk depth-first, each new node gets its state from its ancestors."""
+        children, signs = self.children, self.model.signs
         for word in sorted(words):
             node = 0
-            for sign in self.model.symbols(word):
-                child = self.children.get((node, sign))
+            for number in self.model.edges(word):
+                edge = node << 9 | number
+                child = children.get(edge)
                 if child is None:
                     child = len(self.parent)
-                    self.children[node, sign] = child
+                    children[edge] = child
                     self.parent.append(node)
-                    self.symbol.append(sign)
+                    self.symbol.append(signs[number])
                     token, begin = self._state(child)
                     self.token.append(token)
                     self.begin.append(begin)
@@ -180,19 +191,30 @@ class PrefixTrie:
 
 
 @lru_cache(maxsize=2)
-def _trie(path: str) -> PrefixTrie:
-    """One trie per worker process: later tasks of the worker find the words of earlier ones."""
-    return PrefixTrie(BpeModel(path))
+def _model(path: str) -> BpeModel:
+    """One model per worker process."""
+    return BpeModel(path)
+
+
+@contextmanager
+def _trie(path: str):
+    """The trie of one task. What it has learnt goes with the task: Spark keeps idle workers, and other stages run beside them."""
+    trie = PrefixTrie(_model(path))
+    try:
+        yield trie
+    finally:
+        trie.clear()
+        trie.model.forget()
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids (joined by a space), decoded: a map over the rows, nothing is shuffled."""
     def run(batches):
-        trie = _trie(path)
-        for batch in batches:
-            got = trie.encode(list(batch["text"]))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [g[0] for g in got],
-                                "ids": [g[1] for g in got], "decoded": [g[2] for g in got]})
+        with _trie(path) as trie:
+            for batch in batches:
+                got = trie.encode(list(batch["text"]))
+                yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [g[0] for g in got],
+                                    "ids": [g[1] for g in got], "decoded": [g[2] for g in got]})
 
     return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, n_tokens long, ids string, decoded string").withColumn(
         "doc_id", F.col("doc_id").cast("long"))
@@ -201,13 +223,13 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of ids and decoded text, taken where the text is encoded."""
     def run(batches):
-        trie = _trie(path)
-        for batch in batches:
-            got = trie.encode(list(batch["text"]))
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n_tokens": [g[0] for g in got],
-                "ids_sha256": [hashlib.sha256(g[1].encode()).hexdigest() for g in got],
-                "decoded_sha256": [hashlib.sha256(g[2].encode("utf-8")).hexdigest() for g in got]})
+        with _trie(path) as trie:
+            for batch in batches:
+                got = trie.encode(list(batch["text"]))
+                yield pd.DataFrame({
+                    "doc_id": batch["doc_id"], "n_tokens": [g[0] for g in got],
+                    "ids_sha256": [hashlib.sha256(g[1].encode()).hexdigest() for g in got],
+                    "decoded_sha256": [hashlib.sha256(g[2].encode("utf-8")).hexdigest() for g in got]})
 
     return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(
         run, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumn(

@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -323,3 +324,20 @@ def test_pipeline_stands_empty_tables(spark, tmp_path, make_docs):
     make_docs([]).drop("kept", "n").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_a_worker_keeps_no_trie_after_its_task(make_docs):
+    # an idle worker stays beside the stages that follow; only the model may stay in it
+    docs = make_docs([(i, " ".join("".join(random.Random(i).choices("abcdefghij", k=9)) for _ in range(50))) for i in range(20)])
+
+    def held(batches):
+        import gc
+
+        gc.collect()
+        nodes = [len(x.parent) for x in gc.get_objects() if type(x).__name__ == "PrefixTrie"]
+        pairs = [len(x._apart) for x in gc.get_objects() if type(x).__name__ == "BpeModel"]
+        yield from (b.assign(nodes=sum(nodes), pairs=sum(pairs))[["nodes", "pairs"]] for b in batches)
+
+    assert bpe_trie.encode_digests(docs, queries.tokenizer_path()).filter("n_tokens > 50").count() == 20
+    got = docs.repartition(8).select("doc_id").mapInPandas(held, "nodes long, pairs long").agg(F.max("nodes"), F.max("pairs")).first()
+    assert got[0] <= 1 and got[1] == 0
