@@ -7,13 +7,14 @@ all others by the triangle inequality: members whose distances to a pivot differ
 Classes already connected need no more comparing; buckets still holding several components get new pivots, and what the
 windows leave of them is compared exactly. Sizes, places and parity sketches rule out most unlike pairs before their sets are
 read: where a bucket is the first that two sets share, they share at most what each has left from there on, and a linked
-pair is met in its first bucket. Components are the same as those of all links.
+pair is met in its first bucket. Members of a small bucket that have no such partner in it leave it before any text is moved.
+Components are the same as those of all links.
 
 The order of shingles (by the count of their cell in a table of fixed size, then by value) serves the choice of rare ones
 only: any order gives the same links. The table has to be large, as a repeated shingle stands out of its cell only if the
 others in it are few; a prefix of shingles that are not rare leads unlike documents together, the more of them the larger
 the corpus is. Shingles are told by 64-bit digests, whole sets by 128 bits and their size. Whole sets are
-made again from the texts of documents that share a bucket, so that sets of all others are never written.
+made again from the texts of documents that may have a partner in a bucket, so that sets of all others are never written.
 
 Null or wordless text: no shingles, linked with nothing. Repeated doc_ids: all rows of one doc_id share a component. Null
 doc_ids: linked like others, component_id is the smallest id that is not null (null if there is none). Extra columns are
@@ -42,6 +43,8 @@ SKETCH_BITS = 1024
 #: Rounds end when the comparisons left, or those that the last round spared, are below CHEAP for each member, after
 #: PIVOT_ROUNDS at the latest.
 PIVOT_ROUNDS, CHEAP = 8, 3
+#: Members of buckets up to this size are compared by size, place and sketch with each other; larger ones go to the pivots whole.
+SMALL_BUCKET = 32
 
 
 class _Sets:
@@ -74,6 +77,12 @@ class _Sets:
         place = np.arange(len(self.values)) - start[self.owner]
         return self.values[order[place < keep[self.owner]]], keep
 
+    def sketches(self) -> np.ndarray:
+        """SKETCH_BITS parity bits of each set as longs, one set after the other. Bits in which two sketches differ are a lower
+        bound of the number of shingles in which the sets differ."""
+        cell = self.owner * SKETCH_BITS + (self.values & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
+        return np.packbits((np.bincount(cell, minlength=len(self.sizes) * SKETCH_BITS) & 1).astype(np.uint8)).view(np.int64)
+
 
 def _windows(documents: list[list[bytes]], known: _Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Digest and document of every window of n words; of a shorter text the whole sequence is the only one."""
@@ -172,7 +181,7 @@ def _cell_counts(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def _scan(docs: DataFrame, times: np.ndarray, n: int, percent: int) -> DataFrame:
-    """k, h (of the text), n, m1, m2 (of the set), prefix: one row a text."""
+    """k, h (of the text), n, m1, m2 (of the set), prefix, sketch: one row a text."""
     def scan(batches):
         known = _Words()
         for batch in batches:
@@ -185,9 +194,13 @@ def _scan(docs: DataFrame, times: np.ndarray, n: int, percent: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(sets.sizes.astype(np.int64)),
                      *[pa.array(m.view(np.int64)) for m in sets.marks()],
-                     pa.ListArray.from_arrays(ends, pa.array(prefix.view(np.int64)))], ["k", "h", "n", "m1", "m2", "prefix"])
+                     pa.ListArray.from_arrays(ends, pa.array(prefix.view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * (SKETCH_BITS // 64)),
+                                              pa.array(sets.sketches()))],
+                    ["k", "h", "n", "m1", "m2", "prefix", "sketch"])
 
-    return docs.select("k", "h", "text").mapInArrow(scan, "k long, h long, n long, m1 long, m2 long, prefix array<long>")
+    return docs.select("k", "h", "text").mapInArrow(
+        scan, "k long, h long, n long, m1 long, m2 long, prefix array<long>, sketch array<long>")
 
 
 def _sets(texts: DataFrame, n: int) -> DataFrame:
@@ -206,24 +219,6 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
     return texts.select("id", "text").mapInArrow(scan, "id long, n long, shingles array<long>")
 
 
-def _sketches(sets: DataFrame) -> DataFrame:
-    """id, n, sketch: SKETCH_BITS parity bits of each set. Bits in which two sketches differ are a lower bound of the number
-    of shingles in which the sets differ."""
-    def draw(batches):
-        for batch in batches:
-            column = batch.column(1)
-            values = column.flatten().to_numpy(zero_copy_only=False)
-            sizes = np.diff(column.offsets.to_numpy())
-            cell = np.repeat(np.arange(len(sizes)), sizes) * SKETCH_BITS + (values & (SKETCH_BITS - 1))
-            parity = (np.bincount(cell, minlength=len(sizes) * SKETCH_BITS) & 1).astype(np.uint8)
-            longs = np.packbits(parity).view(np.int64)
-            ends = np.arange(len(sizes) + 1, dtype=np.int32) * (SKETCH_BITS // 64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()),
-                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(longs))], ["id", "n", "sketch"])
-
-    return sets.select("id", "shingles").mapInArrow(draw, "id long, n long, sketch array<bigint>")
-
-
 def _alike(n_a: Column, ka: Column, n_b: Column, kb: Column, percent: int) -> Column:
     """Whether sketches allow a link: linked sets differ in at most (100 - percent) / (100 + percent) of their shingles together."""
     differ = reduce(add, [F.bit_count(F.get(ka, i).bitwiseXOR(F.get(kb, i))) for i in range(SKETCH_BITS // 64)])
@@ -252,6 +247,19 @@ def _unlike_buckets(members: DataFrame) -> DataFrame:
     return members.join(marks.groupBy("m1", "m2", "k").agg(F.max_by("bucket", "left").alias("bucket")).select("bucket"), "bucket")
 
 
+def _with_partners(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Members without those of small buckets that no other member of the bucket can be linked with there."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"))
+    small = members.join(sizes.filter(F.col("k") <= SMALL_BUCKET).select("bucket"), "bucket").join(
+        sketches.select("id", "sketch"), "id")
+    x, y = small.alias("x"), small.alias("y")
+    partner = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") != F.col("y.id"))
+               & _within_reach(F.col("x.n"), F.col("x.left"), F.col("y.n"), F.col("y.left"), percent)
+               & _alike(F.col("x.n"), F.col("x.sketch"), F.col("y.n"), F.col("y.sketch"), percent))
+    large = members.join(sizes.filter(F.col("k") > SMALL_BUCKET).select("bucket"), "bucket")
+    return x.join(y, partner, "left_semi").select("bucket", "id", "n", "left").unionByName(large.select("bucket", "id", "n", "left"))
+
+
 def _label(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """members with the component of their class so far."""
     members = members.drop("label")
@@ -286,7 +294,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     full = rows.filter("n > 0")
     one = full.filter("rid = id").select("rid")
     # joins that move whole sets or texts are of the same kind at every size
-    chosen = stages(scanned.join(one.hint("merge"), "rid", "left_semi").select("rid", "n", "prefix"), "prefixes")
+    chosen = stages(scanned.join(one.hint("merge"), "rid", "left_semi").select("rid", "n", "prefix", "sketch"), "prefixes")
     stages.drop(scanned)
     entries = chosen.select(F.posexplode("prefix").alias("place", "bucket"), F.col("rid").alias("id"), F.col("n").cast("int").alias("n")).select(
         "bucket", "id", "n", (F.col("n") - F.col("place")).alias("left"))
@@ -296,14 +304,17 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     shared = stages(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.max(enough).alias("enough"))
                     .filter("k > 1 and enough").select("bucket"), "shared")
     met = stages(entries.join(shared.hint("merge"), "bucket"), "shared-members")
+    drawn = stages(chosen.select(F.col("rid").alias("id"), "n", "sketch"), "drawn")
     stages.drop(chosen, shared)
     members = stages(_unlike_buckets(met), "members")
     stages.drop(met)
-    # only classes that share a bucket are ever compared; texts are shuffled once, here
+    unlike, members = members, stages(_with_partners(members, drawn, percent), "partners")
+    sketches = stages(drawn.join(members.select("id").distinct(), "id", "left_semi"), "sketches")
+    stages.drop(unlike, drawn)
+    # only classes that may have a partner are ever compared; texts are shuffled once, here
     wanted = full.filter("rid = id").join(members.select("id").distinct(), "id", "left_semi").select("k", "h", "id")
     wanted = stages(wanted.groupBy("k", "h").agg(F.min("id").alias("id")), "wanted")
     sets = stages(_sets(texts.join(wanted.hint("merge"), ["k", "h"]).dropDuplicates(["k", "h"]), n), "sets")
-    sketches = stages(_sketches(sets), "sketches")
     links, labels, windows = None, None, []
     # all sets of a doc_id, however many its rows have, belong to that of its smallest one
     known = full.filter("doc_id is not null").select("doc_id", "id").distinct()
@@ -363,6 +374,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     links = stages(links.union(_distances(sets, pairs).filter(F.col("shared") * 100 >= F.col("whole") * percent)
                                .select("a", "b")), "links")
     labels = components(stages, links)
+    stages.drop(members, sets, sketches, wanted)
     labelled = rows.join(labels, "id", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("label", "id")).alias("label"))
     least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT = "spark.checkpoint.dir"
+#: Shuffle files go at the end of the query that made them, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -71,7 +73,12 @@ class Stages:
     def __call__(self, df: DataFrame, name: str = "stage") -> DataFrame:
         self._count += 1
         path = f"{self.root}/{self._count:03d}-{name}"
-        df.write.option("compression", "zstd").parquet(path)       # digests are hex: half the size of snappy
+        cleanup = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")       # what is written is read back: nothing asks for its shuffles again
+        try:
+            df.write.option("compression", "zstd").parquet(path)       # digests are hex: half the size of snappy
+        finally:
+            self.spark.conf.set(_CLEANUP, cleanup)
         # schema is known: no second look at the files, and nullability and types stay as planned
         staged = self.spark.read.schema(df.schema).parquet(path)
         self._paths.append((staged, path))

@@ -315,3 +315,25 @@ def test_a_reach_loses_no_linked_pair():
         first = min(a & b, key=order.index)
         left = [sum(1 for x in s if x >= first) for s in (a, b)]
         assert min(left) * 180 >= (len(a) + len(b)) * 80 and 100 * min(len(a), len(b)) >= 80 * max(len(a), len(b))
+
+
+def test_sets_are_made_only_of_documents_with_a_possible_partner(make_docs, monkeypatch):
+    # 78 shingles of 86 and 96 are shared: both sets meet in a bucket of two, but sizes and places rule a link out
+    docs = []
+    for i in range(20):
+        shared = [f"s{i}x{k}" for k in range(82)]
+        docs += [(10 * i, " ".join(shared + [f"a{i}x{k}" for k in range(8)])), (10 * i + 1, " ".join(shared + [f"b{i}x{k}" for k in range(18)]))]
+    for i in range(300, 303):
+        base = [f"c{i}x{k}" for k in range(90)]
+        docs += [(10 * i, " ".join(base)), (10 * i + 1, " ".join(base + ["more"]))]
+    rows, write = {}, jaccard_pivots.Stages.__call__
+
+    def counted(self, frame, name="stage"):
+        staged = write(self, frame, name)
+        rows.setdefault(name, staged.count())
+        return staged
+
+    monkeypatch.setattr(jaccard_pivots.Stages, "__call__", counted)
+    got = jaccard_pivots.near_duplicates(make_docs(docs)).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(docs)
+    assert rows["sets"] == 6

@@ -1,4 +1,6 @@
 """Audit helpers, stages, and the plan of a statistics join on a hot key."""
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,19 @@ def test_hot_key_is_split_by_adaptive_execution(spark, stages, capsys):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (found.apply(i).getName() for i in range(found.size()))
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    before, stages = files(), Stages(spark, "clean")
+    staged = stages(spark.range(1000).repartition(3, "id"), "dealt")
+    ends = time.time() + 10
+    while files() - before and time.time() < ends:
+        time.sleep(0.1)
+    assert not files() - before and staged.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    stages.close()
